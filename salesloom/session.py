@@ -16,6 +16,7 @@ def local_session(cores: int | str = "*", name: str = "salesloom") -> SparkSessi
         .appName(name)
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
