@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from salesloom.checks.registry import check, completed
 from salesloom.functions.amounts import (
+    cents,
+    from_cents,
     growth_percent,
     guarded_change,
-    money,
+    money_sum,
     percent,
-    total_money,
     zero_if_null,
 )
 from salesloom.functions.dates import date_of, month_label
@@ -34,8 +35,8 @@ def group_sum(t):
         t["lineitem"]
         .groupBy("l_returnflag", "l_linestatus")
         .agg(
-            total_money("l_extendedprice").alias("revenue"),
-            total_money("l_quantity").alias("quantity"),
+            money_sum("l_extendedprice").alias("revenue"),
+            money_sum("l_quantity").alias("quantity"),
         )
     )
 
@@ -54,9 +55,9 @@ def two_level_aggregate(t):
     day = date_of(orders, "o_orderdate")
     monthly = orders.groupBy(
         "o_orderpriority", F.year(day).alias("order_year"), month_label(day).alias("month")
-    ).agg(F.sum(money("o_totalprice")).alias("monthly"))
+    ).agg(F.sum(cents("o_totalprice")).alias("monthly"))
     return monthly.groupBy("o_orderpriority", "order_year").agg(
-        F.count("month").alias("months"), F.sum("monthly").cast("double").alias("annual")
+        F.count("month").alias("months"), from_cents(F.sum("monthly")).alias("annual")
     )
 
 
@@ -135,7 +136,7 @@ FROM items GROUP BY l_suppkey
     ),
 )
 def ratio_percent(t):
-    price = money("l_extendedprice")
+    price = cents("l_extendedprice")
     return (
         t["lineitem"]
         .groupBy("l_suppkey")
@@ -143,7 +144,10 @@ def ratio_percent(t):
             zero_if_null(F.sum(F.when(F.col("l_returnflag") == "R", price))).alias("returned"),
             F.sum(price).alias("sold"),
         )
-        .select("l_suppkey", percent("returned", "sold").alias("returned_pct"))
+        .select(
+            "l_suppkey",
+            percent(from_cents("returned"), from_cents("sold")).alias("returned_pct"),
+        )
     )
 
 
@@ -178,7 +182,7 @@ def hash_repartition(t):
     return (
         spread(t["lineitem"], 16, ["l_partkey"], within=["l_orderkey"])
         .groupBy("l_partkey")
-        .agg(total_money("l_extendedprice").alias("revenue"), F.count("*").alias("n_lines"))
+        .agg(money_sum("l_extendedprice").alias("revenue"), F.count("*").alias("n_lines"))
     )
 
 
@@ -192,7 +196,7 @@ FROM orders
 )
 def partition_sum(t):
     return with_group_values(
-        t["orders"], ["o_custkey"], customer_total=total_money("o_totalprice")
+        t["orders"], ["o_custkey"], customer_total=money_sum("o_totalprice")
     ).select("o_orderkey", "customer_total")
 
 
@@ -242,7 +246,7 @@ def lag_value(t):
     orders = t["orders"]
     yearly = orders.groupBy(
         "o_orderpriority", F.year(date_of(orders, "o_orderdate")).alias("order_year")
-    ).agg(total_money("o_totalprice").alias("annual"))
+    ).agg(money_sum("o_totalprice").alias("annual"))
     earlier = F.lag("annual").over(Window.partitionBy("o_orderpriority").orderBy("order_year"))
     return yearly.withColumn("earlier", earlier).withColumn(
         "growth", growth_percent("annual", "earlier")
@@ -328,5 +332,5 @@ ORDER BY sum(price) DESC, l_partkey LIMIT 10
 )
 def topk_rank_then_limit(t):
     """Rank at most ten, sorted by rank, cut at ten: the first ten by value."""
-    revenue = t["lineitem"].groupBy("l_partkey").agg(total_money("l_extendedprice").alias("revenue"))
+    revenue = t["lineitem"].groupBy("l_partkey").agg(money_sum("l_extendedprice").alias("revenue"))
     return top_n(revenue, 10, F.col("revenue").desc_nulls_last(), F.col("l_partkey"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from salesloom.checks.registry import check, completed
-from salesloom.functions.amounts import money, percent, total_money
+from salesloom.functions.amounts import cents, from_cents, money_sum, percent
 from salesloom.functions.dates import date_of, month_label
 from salesloom.operators.joining import attach, broadcast_if_small, label_twice
 from salesloom.operators.pairing import pair_totals
@@ -86,11 +86,11 @@ def left_outer_lookup(t):
         t["lineitem"]
         .join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy("l_suppkey", "o_custkey")
-        .agg(F.count("*").alias("n_lines"), F.sum(money("l_extendedprice")).alias("total"))
+        .agg(F.count("*").alias("n_lines"), F.sum(cents("l_extendedprice")).alias("total"))
         .join(t["customer"], F.col("o_custkey") == F.col("c_custkey"))
         .join(t["supplier"], F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("s_nationkey", "c_nationkey")
-        .agg(F.sum("n_lines").alias("n_lines"), F.sum("total").cast("double").alias("revenue"))
+        .agg(F.sum("n_lines").alias("n_lines"), from_cents(F.sum("total")).alias("revenue"))
     )
     return label_twice(
         per_route,
@@ -123,7 +123,7 @@ def broadcast_hint(t):
     "j06_self_join_equi_plus_range",
     completed(
         """
-SELECT a.l_orderkey AS order_key, count(*) AS pairs, CAST(sum(a.price + b.price) AS DOUBLE) AS pair_value
+SELECT a.l_orderkey AS order_key, CAST(count(*) AS DOUBLE) AS pairs, CAST(sum(a.price + b.price) AS DOUBLE) AS pair_value
 FROM items a JOIN items b ON a.l_orderkey = b.l_orderkey AND a.l_partkey < b.l_partkey
 GROUP BY a.l_orderkey
 """
@@ -134,9 +134,13 @@ def self_join_equi_plus_range(t):
     lines = t["lineitem"].select(
         F.col("l_orderkey").alias("order_key"),
         F.col("l_partkey").alias("part_key"),
-        money("l_extendedprice").alias("value"),
+        cents("l_extendedprice").alias("value"),
+    )
+    return pair_totals(lines).select(
+        "order_key",
+        F.col("pairs").cast("double").alias("pairs"),
+        from_cents("pair_value").alias("pair_value"),
     )
-    return pair_totals(lines).withColumn("pair_value", F.col("pair_value").cast("double"))
 
 
 @check(
@@ -203,7 +207,7 @@ def star_join(t):
     per_order = (
         t["lineitem"]
         .groupBy("l_orderkey")
-        .agg(F.sum(money("l_extendedprice")).alias("revenue"), F.count("*").alias("n_lines"))
+        .agg(F.sum(cents("l_extendedprice")).alias("revenue"), F.count("*").alias("n_lines"))
     )
     per_customer = (
         t["orders"]
@@ -217,7 +221,7 @@ def star_join(t):
         .join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
         .join(per_customer, F.col("c_custkey") == F.col("o_custkey"))
         .groupBy("r_name", "c_mktsegment")
-        .agg(F.sum("revenue").cast("double").alias("revenue"), F.sum("n_lines").alias("n_lines"))
+        .agg(from_cents(F.sum("revenue")).alias("revenue"), F.sum("n_lines").alias("n_lines"))
     )
 
 
@@ -231,7 +235,7 @@ FROM orders JOIN (SELECT o_custkey AS buyer, CAST(sum(CAST(o_totalprice AS DECIM
 )
 def aggregate_rejoin(t):
     orders = t["orders"]
-    totals = orders.groupBy("o_custkey").agg(total_money("o_totalprice").alias("total"))
+    totals = orders.groupBy("o_custkey").agg(money_sum("o_totalprice").alias("total"))
     return attach(orders, totals, ["o_custkey"]).select(
         "o_orderkey", percent("o_totalprice", "total").alias("pct_of_customer")
     )

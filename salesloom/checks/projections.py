@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from salesloom.checks.registry import check, completed
-from salesloom.functions.amounts import money, rate, zero_if_null
+from salesloom.functions.amounts import cents, from_cents, zero_if_null
 from salesloom.functions.campaigns import flag_by_coin, flag_by_key
 from salesloom.functions.dates import date_of, days_between, in_years, month_label, parse_date
 from salesloom.operators.ranking import top_k_with_ties
@@ -50,8 +50,8 @@ def computed_column(t):
         .select(
             "l_orderkey",
             "l_linenumber",
-            (money("l_extendedprice") * (1 - rate("l_discount"))).cast("double").alias("discounted"),
-            (money("l_extendedprice") - money("ps_supplycost")).cast("double").alias("profit"),
+            (cents("l_extendedprice") * (100 - cents("l_discount")) / 10_000).alias("discounted"),
+            from_cents(cents("l_extendedprice") - cents("ps_supplycost")).alias("profit"),
         )
     )
 
@@ -242,14 +242,14 @@ FROM lineitem
 """,
 )
 def arithmetic(t):
-    price, quantity = money("l_extendedprice"), money("l_quantity")
+    price, quantity = cents("l_extendedprice"), cents("l_quantity")
     return t["lineitem"].select(
         "l_orderkey",
         "l_linenumber",
         F.try_divide("l_extendedprice", "l_quantity").alias("unit_price"),
-        (price + quantity).cast("double").alias("plus"),
-        (price - quantity).cast("double").alias("minus"),
-        (price * rate("l_tax")).cast("double").alias("tax"),
+        from_cents(price + quantity).alias("plus"),
+        from_cents(price - quantity).alias("minus"),
+        (price * cents("l_tax") / 10_000).alias("tax"),
     )
 
 
@@ -361,7 +361,7 @@ def text_to_number(t):
     written = t["orders"].select(
         "o_orderkey",
         F.col("o_orderkey").cast("string").alias("whole"),
-        money("o_totalprice").cast("string").alias("amount"),
+        F.col("o_totalprice").cast("decimal(12,2)").cast("string").alias("amount"),
         "o_orderpriority",
     )
     return written.select(

@@ -236,7 +236,7 @@ FROM customer, (VALUES (5), (16)) AS days(d) GROUP BY d, c_mktsegment
 def catalog_registration(tables):
     root = _two_days(tables, "customer")
     database = "sales_" + root.rsplit("-", 1)[-1]
-    (table,) = register(tables.spark, root, ["customer"], database)
+    (table,) = register(tables.spark, root, ["customer"], database, DAY)
     return tables.spark.sql(
         "SELECT year, month, day, c_mktsegment, count(*) AS n_rows"
         f" FROM {table} GROUP BY year, month, day, c_mktsegment"

@@ -1,8 +1,14 @@
 """Exact money, shares and changes.
 
-Money and rates are summed as decimals, so a total does not depend on the
-order in which partitions are merged, and become doubles only at the end.
-Every division yields null on a zero divisor, also under ANSI mode.
+Money is added up as whole cents in bigints: a total does not depend on the
+order in which partitions are merged, and adding bigints is several times
+cheaper than adding decimals. With prices below 105,000, as the benchmark
+tables have them, a bigint holds the cents of 8.7e11 lines, more than a 100 TB
+line table has; beyond that ANSI mode, Spark's default, stops the job rather
+than let a total wrap. Products of cents need more room and use ``wide_sum``.
+
+Totals become doubles only at the end. Every division yields null on a zero
+divisor, also under ANSI mode.
 """
 
 from __future__ import annotations
@@ -13,18 +19,32 @@ from pyspark.sql import functions as F
 MONEY = "decimal(12,2)"
 RATE = "decimal(4,2)"
 
+_LOW_BITS = 20
 
-def money(amount: Column | str) -> Column:
-    return _column(amount).cast(MONEY)
 
+def cents(amount: Column | str) -> Column:
+    """A money amount in hundredths; also a rate in percent points."""
+    return F.rint(_column(amount).cast("double") * 100).cast("bigint")
 
-def rate(fraction: Column | str) -> Column:
-    return _column(fraction).cast(RATE)
 
+def from_cents(total: Column | str) -> Column:
+    return _column(total).cast("double") / 100
 
-def total_money(amount: Column | str) -> Column:
+
+def money_sum(amount: Column | str) -> Column:
     """Exact sum of a money column, as a double."""
-    return F.sum(money(amount)).cast("double")
+    return from_cents(F.sum(cents(amount)))
+
+
+def wide_sum(whole: Column) -> Column:
+    """Sum of bigints as a decimal, added up in two parts that cannot overflow.
+
+    Of each number the low 20 bits and the rest are summed apart, which is
+    safe for 8.8e12 rows of numbers below 2^40, and as cheap as bigints are.
+    """
+    low = whole.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
+    high = F.sum(F.shiftright(whole, _LOW_BITS)).cast("decimal(25,0)")
+    return high * (1 << _LOW_BITS) + F.sum(low).cast("decimal(19,0)")
 
 
 def fraction(part: Column | str, whole: Column | str) -> Column:

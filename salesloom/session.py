@@ -21,6 +21,8 @@ def local_session(cores: int | str = "*", name: str = "salesloom") -> SparkSessi
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # join by hash instead of sorting once every partition is known to be small
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
         .getOrCreate()
     )
 
@@ -46,15 +48,16 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(frame: DataFrame) -> DataFrame:
-    """Store a frame in the shared folder, so that later work starts from there.
+def stored(frame: DataFrame, label: str) -> DataFrame:
+    """Write a frame to the shared folder and go on from the written copy.
 
-    The stored copy outlives any executor.
+    Work that reads the result more than once then does it once, the copy
+    outlives any executor, and its size is known: Spark broadcasts it in a
+    later join only below ``spark.sql.autoBroadcastJoinThreshold``.
     """
-    context = frame.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(frame.sparkSession))
-    return frame.checkpoint(eager=True)
+    path = fresh_folder(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
 _folder: str | None = None

@@ -1,0 +1,217 @@
+"""Operators against plain formulations and brute force, and their plans."""
+
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter
+from itertools import combinations
+
+import pytest
+from conftest import plan, table
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from salesloom.functions.amounts import (
+    cents,
+    from_cents,
+    fraction,
+    guarded_change,
+    money_sum,
+    wide_sum,
+)
+from salesloom.functions.dates import in_years
+from salesloom.operators.grouping import spread, with_group_values, years_to_columns
+from salesloom.operators.joining import attach, broadcast_if_small, label_twice
+from salesloom.operators.pairing import orders_with_pairs, pair_totals, top_pairs
+from salesloom.operators.ranking import top_k_with_ties
+
+
+def bag(frame):
+    return Counter(tuple(r) for r in frame.collect())
+
+
+def skewed(spark, seed, rows=400):
+    """Rows where one key, sometimes null, holds about a third."""
+    rng = random.Random(seed)
+    hot = rng.choice([None, "hot"])
+    return table(
+        spark,
+        "key string, value long",
+        *[
+            (hot if rng.random() < 0.33 else f"k{rng.randrange(9)}", rng.choice([None, *range(6)]))
+            for _ in range(rows)
+        ],
+    )
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_group_values_equal_a_window(spark, seed):
+    frame = skewed(spark, seed)
+    w = Window.partitionBy("key")
+    ours = with_group_values(
+        frame, ["key"], total=F.sum("value"), mean=F.avg("value"), n=F.count("*")
+    )
+    theirs = frame.select(
+        "*",
+        F.sum("value").over(w).alias("total"),
+        F.avg("value").over(w).alias("mean"),
+        F.count("*").over(w).alias("n"),
+    )
+    assert ours.columns == theirs.columns
+    assert bag(ours) == bag(theirs)
+    assert "Window" not in plan(ours)
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("k", [1, 3, 500])
+def test_top_k_with_ties_equals_rank(spark, seed, k):
+    frame = skewed(spark, seed)
+    for within in ([], ["key"]):
+        rank = F.rank().over(Window.partitionBy(*within).orderBy(F.col("value").desc()))
+        theirs = frame.withColumn("rank", rank).filter(F.col("rank") <= k)
+        ours = top_k_with_ties(frame, k, "value", within)
+        assert bag(ours) == bag(theirs)
+
+
+def test_rank_prunes_before_the_shuffle(spark):
+    text = plan(top_k_with_ties(skewed(spark, 0), 3, "value", ["key"]))
+    assert "WindowGroupLimit" in text and "Partial" in text
+
+
+def test_years_to_columns_equals_pivot(spark):
+    frame = skewed(spark, 5).withColumn("year", F.coalesce("value", F.lit(0)) + 1995)
+    ours = years_to_columns(frame, ["key"], F.col("year"), [1996, 1997], F.col("value"))
+    theirs = frame.groupBy("key").pivot("year", [1996, 1997]).agg(F.sum("value"))
+    assert bag(ours) == bag(theirs)
+
+
+def test_spread_splits_one_key(spark):
+    frame = spark.range(4000).select(F.lit(1).alias("key"), "id")
+    assert spread(frame, 16, ["key"]).rdd.glom().map(len).filter(bool).count() == 1
+    parts = spread(frame, 16, ["key"], within=["id"]).rdd.glom().map(len).collect()
+    assert len(parts) == 16 and max(parts) < 600
+
+
+def test_broadcast_only_below_the_bound(spark):
+    frame = spark.range(11)
+    joined = spark.range(5).join(broadcast_if_small(frame, 11), "id")
+    assert "BroadcastHashJoin" in plan(joined)
+    assert not broadcast_if_small(frame, 10)._jdf.queryExecution().logical().toString().count("hint")
+
+
+def test_attach_takes_a_frame_derived_from_itself(spark):
+    frame = table(spark, "a string, b long", ("x", 1), (None, 2), (None, 3))
+    sums = frame.groupBy("a").agg(F.sum("b").alias("s"))
+    assert bag(attach(frame, sums, ["a"])) == Counter([("x", 1, 1), (None, 2, 5), (None, 3, 5)])
+
+
+def test_label_twice_keeps_unmatched(spark):
+    pairs = table(spark, "a long, b long", (1, 2), (2, 9))
+    names = table(spark, "id long, name string", (1, "one"), (2, "two"))
+    labelled = label_twice(pairs, names, "id", "name", {"a": "first", "b": "second"})
+    assert bag(labelled) == Counter([(1, 2, "one", "two"), (2, 9, "two", None)])
+
+
+def lines_of(spark, seed):
+    """Orders of very different size, with repeated parts, equal and null values."""
+    rng = random.Random(seed)
+    values = rng.choice([[1.0, 2.0, 3.0], [rng.random() * 100 for _ in range(200)]])
+    rows = [
+        (
+            1 if rng.random() < 0.33 else rng.randrange(2, 20),
+            rng.randrange(rng.choice([2, 8])),
+            None if rng.random() < 0.1 else rng.choice(values),
+        )
+        for _ in range(rng.choice([6, 60, 120]))
+    ]
+    return rows, table(spark, "order_key long, part_key long, value double", *rows)
+
+
+def all_pairs(rows):
+    for (o1, p1, v1), (o2, p2, v2) in combinations(rows, 2):
+        if o1 == o2 and p1 != p2:
+            yield o1, min(p1, p2), max(p1, p2), None if v1 is None or v2 is None else v1 + v2
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_top_pairs_equal_all_pairs_ranked(spark, seed):
+    rows, lines = lines_of(spark, seed)
+    k = [1, 5, 40][seed % 3]
+    every = sorted(all_pairs(rows), key=lambda p: -math.inf if p[3] is None else p[3], reverse=True)
+    cut = every[k - 1][3] if len(every) >= k else None
+    expected = Counter(p for p in every if cut is None or (p[3] is not None and p[3] >= cut))
+    found = Counter()
+    for order, one, two, value, n in (tuple(r) for r in top_pairs(lines, k).collect()):
+        found[order, one, two, value] += int(n)
+    assert found == expected
+
+
+def test_top_pairs_of_one_large_order_of_equal_lines(spark):
+    """All lines of one order tie; the result counts them without listing them."""
+    lines = spark.range(40_000).select(
+        F.lit(1).alias("order_key"), (F.col("id") % 4).alias("part_key"), F.lit(2.5).alias("value")
+    )
+    result = top_pairs(lines, 5).collect()
+    assert len(result) == 6
+    assert {int(r.n) for r in result} == {10_000 * 10_000}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_pair_totals_equal_all_pairs_summed(spark, seed):
+    rng = random.Random(seed)
+    rows = [(rng.randrange(4), rng.randrange(5), rng.choice([None, 1, 7])) for _ in range(60)]
+    expected = {}
+    for order, _, _, value in all_pairs(rows):
+        n, total = expected.get(order, (0, 0))
+        expected[order] = n + 1, total + (value or 0)
+    lines = table(spark, "order_key long, part_key long, value long", *rows)
+    found = {r.order_key: (int(r.pairs), int(r.pair_value)) for r in pair_totals(lines).collect()}
+    assert found == expected
+
+
+def test_orders_with_pairs_counts_combinations(spark):
+    lines = table(
+        spark, "order_key long, part_key long", (1, 1), (1, 1), (1, 2), (2, 1), (2, 3), (3, 1), (3, 2)
+    )
+    pairs = table(spark, "part_1 long, part_2 long, n long", (1, 2, 10))
+    found = orders_with_pairs(lines, pairs).select("order_key", F.col("hits").cast("int"))
+    assert bag(found) == Counter([(1, 20), (3, 10)])
+
+
+def test_wide_sum_is_exact_past_a_bigint(spark):
+    rng = random.Random(1)
+    numbers = [rng.randrange(-(2**62), 2**62) for _ in range(50)] + [2**62] * 20
+    total = table(spark, "x long", *[(n,) for n in numbers]).agg(wide_sum(F.col("x"))).first()[0]
+    assert int(total) == sum(numbers)
+
+
+def test_money_sum_does_not_drift(spark):
+    frame = table(spark, "x double", *[(0.1,)] * 1000)
+    assert frame.agg(money_sum("x")).first()[0] == 100.0
+
+
+def test_cents_of_doubles_and_decimals(spark):
+    frame = spark.sql(
+        "SELECT * FROM VALUES (1.15D, 1.15BD), (-104999.91D, -104999.91BD), (0.29D, 0.29BD) t(a, b)"
+    )
+    assert [tuple(r) for r in frame.select(cents("a"), cents("b")).collect()] == [
+        (115, 115),
+        (-10499991, -10499991),
+        (29, 29),
+    ]
+    assert frame.select(from_cents(cents("a"))).first()[0] == 1.15
+
+
+def test_division_by_zero_is_null(spark):
+    frame = table(spark, "a double, b double", (1.0, 0.0))
+    assert tuple(frame.select(fraction("a", "b"), guarded_change("a", "b")).first()) == (None, 100.0)
+
+
+def test_year_range_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    table(spark, "o_orderdate string, x long", ("1996-06-01", 1), ("1997-13-01", 2)).write.parquet(path)
+    orders = spark.read.parquet(path)
+    kept = orders.filter(in_years(orders, "o_orderdate", 1996, 1998))
+    assert [r.x for r in kept.collect()] == [1]
+    assert "GreaterThanOrEqual(o_orderdate" in plan(kept)

@@ -1,0 +1,29 @@
+"""Every registered query against its SQL on the smallest tables."""
+
+from __future__ import annotations
+
+import pytest
+from oracle import compare, connect
+
+import __spark_entry__ as entry
+
+FOLDER = "/root/testdata/sf0.001"
+QUERIES, SQL = entry.queries(), entry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def connection():
+    return connect(FOLDER)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_matches_sql(spark, connection, name):
+    assert compare(spark, FOLDER, name, QUERIES[name], SQL.get(name), connection) == ""
+
+
+def test_entry_has_rows(spark):
+    assert entry.entry(spark).count() > 0
+
+
+def test_only_the_coin_lacks_sql():
+    assert set(QUERIES) - set(SQL) == {"f10_random_split_by_coin"}
