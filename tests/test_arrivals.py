@@ -1,0 +1,52 @@
+"""The daily run starts when, and only when, a complete set has new files."""
+
+from __future__ import annotations
+
+import shutil
+from datetime import date
+from pathlib import Path
+
+from salesloom.checks.landing import land
+from salesloom.plans import ANSWERS
+from salesloom.sources.given import GivenTables
+from salesloom.sources.snapshots import read_day
+from salesloom.streaming.arrivals import arrivals, run_on_arrival
+
+DAY = date(2024, 9, 5)
+
+
+def test_waits_for_the_last_source_and_runs_once(spark, tmp_path):
+    landing = Path(land(GivenTables(spark, "/root/testdata/sf0.001")))
+    source = tmp_path / "source"
+    source.mkdir()
+    runs = []
+
+    def look():
+        query = run_on_arrival(
+            spark,
+            str(source),
+            str(tmp_path / "staging"),
+            str(tmp_path / "results"),
+            str(tmp_path / "progress"),
+            day=DAY,
+            report=runs.append,
+        )
+        assert query.awaitTermination(300)
+
+    names = sorted(path.name for path in landing.iterdir())
+    for name in names[:-1]:
+        shutil.copytree(landing / name, source / name)
+    look()
+    assert runs == []
+    shutil.copytree(landing / names[-1], source / names[-1])
+    look()
+    assert [o.answer for o in runs[0]] == list(ANSWERS)
+    assert [o.error for o in runs[0]] == [None] * 10
+    assert read_day(spark, str(tmp_path / "results"), "q10_chg_supp_perf", DAY).count() == 10
+    look()
+    assert len(runs) == 1
+
+
+def test_contents_are_not_read(spark, tmp_path):
+    (tmp_path / "a.tbl").write_text("1|\n")
+    assert arrivals(spark, str(tmp_path)).columns == ["path", "modificationTime", "length"]
