@@ -9,6 +9,7 @@ from salesloom.functions.amounts import cents, from_cents, money_sum, percent
 from salesloom.functions.dates import date_of, month_label
 from salesloom.operators.joining import attach, broadcast_if_small, label_twice
 from salesloom.operators.pairing import pair_totals
+from salesloom.plans.sold import same_offer
 
 
 @check(
@@ -35,12 +36,9 @@ FROM offers JOIN items ON ps_partkey = l_partkey AND ps_suppkey = l_suppkey
     ),
 )
 def inner_composite(t):
-    same_offer = (F.col("ps_partkey") == F.col("l_partkey")) & (
-        F.col("ps_suppkey") == F.col("l_suppkey")
-    )
     return (
         t["partsupp"]
-        .join(t["lineitem"], same_offer, "inner")
+        .join(t["lineitem"], same_offer(), "inner")
         .select("l_orderkey", "l_linenumber", "ps_availqty")
     )
 

@@ -9,6 +9,7 @@ from salesloom.functions.amounts import cents, from_cents, zero_if_null
 from salesloom.functions.campaigns import flag_by_coin, flag_by_key
 from salesloom.functions.dates import date_of, days_between, in_years, month_label, parse_date
 from salesloom.operators.ranking import top_k_with_ties
+from salesloom.plans.sold import same_offer
 
 
 @check("p01_project", "SELECT l_orderkey, l_partkey, l_extendedprice FROM lineitem")
@@ -39,14 +40,9 @@ FROM items JOIN offers ON l_partkey = ps_partkey AND l_suppkey = ps_suppkey
     ),
 )
 def computed_column(t):
-    offers = t["partsupp"]
     return (
         t["lineitem"]
-        .join(
-            offers,
-            (F.col("l_partkey") == F.col("ps_partkey"))
-            & (F.col("l_suppkey") == F.col("ps_suppkey")),
-        )
+        .join(t["partsupp"], same_offer())
         .select(
             "l_orderkey",
             "l_linenumber",
