@@ -21,6 +21,8 @@ def local_session(cores: int | str = "*", name: str = "salesloom") -> SparkSessi
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # the limit is on compressed files, whose rows take far more room when broadcast
+        .config("spark.sql.autoBroadcastJoinThreshold", "1MB")
         # join by hash instead of sorting once every partition is known to be small
         .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
         .getOrCreate()

@@ -17,17 +17,18 @@ from pyspark.sql import functions as F
 
 
 class GivenTables(Mapping):
-    """Tables of one folder, by name, read when asked for."""
+    """Tables of one folder, by name, opened when asked for."""
 
     names = ("region", "nation", "customer", "supplier", "part", "partsupp", "orders", "lineitem")
 
     def __init__(self, spark: SparkSession, folder: str, offers: str | None = None):
         """``offers`` names a Parquet copy of the derived partsupp, if one was written."""
         self.spark, self.folder, self.offers = spark, folder.rstrip("/"), offers
+        self._opened: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name == "partsupp":
-            return self.spark.read.parquet(self.offers) if self.offers else self._partsupp()
+            return self._open(self.offers) if self.offers else self._partsupp()
         frame = self.raw(name)
         if name == "part":
             return frame.withColumn("p_mfgr", _maker())
@@ -43,7 +44,13 @@ class GivenTables(Mapping):
 
     def raw(self, name: str) -> DataFrame:
         """A supplied table as it is."""
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._open(f"{self.folder}/{name}.parquet")
+
+    def _open(self, path: str) -> DataFrame:
+        # opening lists files and reads a footer, once per table
+        if path not in self._opened:
+            self._opened[path] = self.spark.read.parquet(path)
+        return self._opened[path]
 
     def _partsupp(self) -> DataFrame:
         offer = self.raw("lineitem").select(

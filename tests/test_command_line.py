@@ -1,0 +1,33 @@
+"""The jobs as one would submit them."""
+
+from __future__ import annotations
+
+from datetime import date
+
+import pytest
+
+from salesloom.__main__ import parse, run
+from salesloom.checks.landing import land
+from salesloom.sources.given import GivenTables
+from salesloom.sources.snapshots import read_day
+
+
+def test_ingest_then_some_answers(spark, tmp_path, capsys):
+    source = land(GivenTables(spark, "/root/testdata/sf0.001"), "customer", "orders")
+    folders = ["--staging", f"{tmp_path}/staging", "--date", "2024-09-05"]
+    assert run(spark, parse(["ingest", "--source", source, *folders, "customer", "orders"]))
+    answer = parse(["answer", *folders, "--results", f"{tmp_path}/results/", "q06_cust_behavior"])
+    assert run(spark, answer)
+    assert read_day(spark, f"{tmp_path}/results", "q06_cust_behavior", date(2024, 9, 5)).count() > 0
+    # lines were not ingested, so this answer fails, and is reported
+    answer.answers = ["q10_chg_supp_perf", "q06_cust_behavior"]
+    assert not run(spark, answer)
+    printed = capsys.readouterr().out
+    assert "q10_chg_supp_perf" in printed and "PATH_NOT_FOUND" in printed
+
+
+def test_arguments():
+    options = parse(["day", "--source", "a", "--staging", "b", "--results", "c"])
+    assert options.date is None and options.database is None
+    with pytest.raises(SystemExit):
+        parse(["answer", "--staging", "b", "--results", "c", "q11"])
