@@ -1,0 +1,77 @@
+"""One key with a third of all rows: joins of raw rows split it, all else combines it first."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+import salesloom.plans.suppliers as suppliers
+from salesloom.plans import ANSWERS
+from salesloom.sources.given import GivenTables
+
+SETTINGS = {
+    "spark.sql.shuffle.partitions": "32",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+}
+
+
+@pytest.fixture(scope="module")
+def hot(spark, tmp_path_factory):
+    """The given tables with a third of all lines on one order, part and supplier each."""
+    given = GivenTables(spark, "/root/testdata/sf0.01")
+    tables = {name: given[name] for name in given}
+
+    def third(key, value, *salt):
+        chosen = F.pmod(F.xxhash64("l_linenumber", "l_shipdate", "l_extendedprice", *salt), F.lit(3))
+        return F.when(chosen == 0, value).otherwise(F.col(key))
+
+    path = str(tmp_path_factory.mktemp("hot") / "lineitem")
+    given["lineitem"].withColumns(
+        {
+            "l_orderkey": third("l_orderkey", 7, F.lit(1)),
+            "l_partkey": third("l_partkey", 11, F.lit(2)),
+            "l_suppkey": third("l_suppkey", 13, F.lit(3)),
+        }
+    ).repartition(32).write.parquet(path)
+    tables["lineitem"] = spark.read.parquet(path)
+    return tables
+
+
+@pytest.fixture
+def small_limits(spark):
+    before = {name: spark.conf.get(name) for name in SETTINGS}
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def joins(frame):
+    """The joins of the plan as it was finally run: (keys, whether a hot key was split)."""
+    frame.collect()
+    text = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return [line for line in text.splitlines() if "Join" in line]
+
+
+def test_lines_with_orders_split_a_hot_order(spark, hot, small_limits, monkeypatch):
+    monkeypatch.setattr(suppliers, "stored", lambda frame, label: frame)  # to see its plan
+    for name in ("q07_effect_mkt_campaigns", "q09_sale_lead_time"):
+        of_orders = [line for line in joins(ANSWERS[name](hot)) if "l_orderkey" in line]
+        assert of_orders and all("skew=true" in line for line in of_orders), name
+
+
+@pytest.mark.parametrize(
+    "name", ["q01_most_profit_prods", "q02_sales_per_by_region", "q03_delay_ords_pct_by_cust"]
+)
+def test_combined_lines_leave_nothing_to_split(spark, hot, small_limits, name):
+    assert not any("skew=true" in line for line in joins(ANSWERS[name](hot)))
+
+
+def test_pairs_of_a_hot_order(spark, hot):
+    """20,000 lines of one order would make 200 million pairs; the answer needs few."""
+    rows = ANSWERS["q08_most_profit_pairs"](hot).collect()
+    assert rows and {r.ORDERKEY for r in rows} >= {7}
+    assert hot["lineitem"].filter("l_orderkey = 7").count() > 19_000
