@@ -12,8 +12,9 @@ from salesloom.sources.given import GivenTables
 SETTINGS = {
     "spark.sql.shuffle.partitions": "32",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
 }
 
 
@@ -36,6 +37,8 @@ def hot(spark, tmp_path_factory):
         }
     ).repartition(32).write.parquet(path)
     tables["lineitem"] = spark.read.parquet(path)
+    buyer = F.when(F.pmod(F.xxhash64("o_orderkey"), F.lit(3)) == 0, 5).otherwise(F.col("o_custkey"))
+    tables["orders"] = given["orders"].withColumn("o_custkey", buyer)
     return tables
 
 
@@ -63,9 +66,14 @@ def test_lines_with_orders_split_a_hot_order(spark, hot, small_limits, monkeypat
         assert of_orders and all("skew=true" in line for line in of_orders), name
 
 
-@pytest.mark.parametrize(
-    "name", ["q01_most_profit_prods", "q02_sales_per_by_region", "q03_delay_ords_pct_by_cust"]
-)
+def test_orders_with_customers_split_a_hot_customer(spark, hot, small_limits):
+    by_customer = [
+        line for line in joins(ANSWERS["q02_sales_per_by_region"](hot)) if "c_custkey" in line
+    ]
+    assert by_customer and all("skew=true" in line for line in by_customer)
+
+
+@pytest.mark.parametrize("name", ["q01_most_profit_prods", "q03_delay_ords_pct_by_cust"])
 def test_combined_lines_leave_nothing_to_split(spark, hot, small_limits, name):
     assert not any("skew=true" in line for line in joins(ANSWERS[name](hot)))
 
