@@ -197,9 +197,13 @@ class TestIngest:
                 after = after.fillna("")
             assert after.exceptAll(before).isEmpty() and before.exceptAll(after).isEmpty(), name
 
-    def test_parsing_is_not_left_to_one_task(self, spark, landing):
-        frame = read_source(spark, landing, "customer")
-        assert frame.rdd.getNumPartitions() >= 8
+    def test_parsing_a_large_member_is_shared(self, spark, landing, tmp_path):
+        text = "1|2|30|4.50|some words about it|\n" * 500_000
+        zipped(tmp_path / "partsupp.tbl.zip", rows=text)
+        frame = read_source(spark, str(tmp_path), "partsupp")
+        assert frame.rdd.getNumPartitions() == 4  # 16 MB, four for each task
+        assert frame.count() == 500_000
+        assert read_source(spark, landing, "customer").rdd.getNumPartitions() == 1
 
     def test_missing_sources_are_named(self, spark, landing, tmp_path):
         assert missing_sources(spark, landing) == []
