@@ -71,18 +71,25 @@ class TestArchives:
         assert len(text) > 3 * archives.PIECE
         assert lines(spark, path) == sorted(text.splitlines())
 
-    def test_pieces_may_end_anywhere(self):
+    @pytest.mark.parametrize("size", [1, 2, 5, 7])
+    def test_pieces_may_end_anywhere(self, size):
         class Slow:
             def __init__(self, data):
                 self.data = data
 
             def read(self, _):
-                head, self.data = self.data[:1], self.data[1:]
+                head, self.data = self.data[:size], self.data[size:]
                 return head
 
-        text = "a|é|\r\n\nb| c\nlast"
-        found = [x for some in archives._in_pieces(Slow(text.encode())) for x in some if x]
-        assert found == [x for x in text.splitlines() if x]
+        text = "a|é|\r\n\nb|\u2028c\rd\x0b\x85e\nlast"
+        blocks = list(archives._whole_lines(Slow(text.encode())))
+        assert "".join(blocks) == text
+        assert all(block[-1] in archives.LINE_ENDS for block in blocks[:-1])
+
+    def test_every_kind_of_line_end(self, spark, tmp_path):
+        text = "".join(f"{i}|{end}" for i, end in enumerate(archives.LINE_ENDS)) + "last\r\n"
+        path = zipped(tmp_path / "a.zip", rows=text)
+        assert lines(spark, path) == sorted(text.splitlines())
 
     def test_bad_utf8_is_an_error(self, spark, tmp_path):
         path = zipped(tmp_path / "bad.zip", rows=b"1|\xff\xfe|\n")
