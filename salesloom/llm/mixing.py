@@ -7,8 +7,8 @@ divided by the odds of inclusion, and the ranking is cut where the words reach
 the target. The odds of inclusion follow from the share still wanted, and long
 documents have lower ones than short ones, as one long text at the cut would
 miss the target by its length. Where the next document would overshoot, the
-ranking goes on with documents of at most a quarter of the words that lack,
-twice, so that a source ends within a small text of its target.
+ranking goes on with documents of at most the words that lack, three times, so
+that a source ends within a small text of its target.
 
 The cut is found without ranking a source in one task: words are added up per
 source and interval of the rank, and only the interval that holds the cut is
@@ -26,7 +26,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 CAP = 2.0
 INTERVALS = 4096
-ROUNDS = 3
+ROUNDS = 4
 SEED = "mix-1"
 
 
@@ -156,7 +156,7 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
         plan = plan.join(cut, "key", "left").withColumnRenamed("end", f"end_{i}")
         plan = plan.withColumn("room", F.col("room") - F.coalesce("words", F.lit(0).cast("long"))).drop("words")
         if i < ROUNDS:
-            plan = plan.withColumn(f"most_{i + 1}", F.floor(F.col("room") / 4))
+            plan = plan.withColumn(f"most_{i + 1}", F.floor("room"))
         plan = stored(plan, "mix-plan")
     return plan
 
@@ -205,7 +205,7 @@ def _sql() -> str:
     for i in range(1, ROUNDS + 1):
         rows = "ranked" if i == 1 else (
             f"(SELECT r.* FROM ranked r JOIN p{i - 1} p USING (key) "
-            f"WHERE size <= floor(p.room / 4) AND rank >= p.stop)"
+            f"WHERE size <= floor(p.room) AND rank >= p.stop)"
         )
         before = "plan" if i == 1 else f"p{i - 1}"
         rounds.append(f"""
@@ -213,7 +213,7 @@ r{i} AS (SELECT key, size, rank, sum(size) OVER (PARTITION BY key ORDER BY rank)
 c{i} AS (SELECT p.key, coalesce(min(rank) FILTER (WHERE upto > p.room), 2.0) AS stop
          FROM {before} p LEFT JOIN r{i} USING (key) GROUP BY p.key),
 p{i} AS (SELECT p.* EXCLUDE (room, most, stop), c.stop,
-                {'most' if i == 1 else 'floor(p.room / 4)'} AS most,
+                {'most' if i == 1 else 'floor(p.room)'} AS most,
                 p.room - coalesce((SELECT sum(size) FROM r{i} r WHERE r.key = p.key AND rank < c.stop), 0) AS room
          FROM {before} p JOIN c{i} c USING (key))""")
     drawn = " OR ".join(f"(size <= p{i}.most AND rank < p{i}.stop)" for i in range(1, ROUNDS + 1))
