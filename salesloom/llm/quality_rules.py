@@ -30,7 +30,7 @@ MIN_WORDS = 50
 REPEAT_PERCENT = 50  # of the words, base rule
 SYMBOLS = "#*$%&|<>"
 SYMBOL_PERCENT = 10  # symbols per 100 words
-DUP_LINE_PERCENT = 30  # lines equal to an earlier one, of the lines with a word
+DUP_LINE_PERCENT = 50  # lines equal to an earlier one, of the lines with a word
 MEAN_WORD = (2, 15)  # code points
 WATCH = 0.02
 REJECT = 0.95

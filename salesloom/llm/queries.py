@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import bpe, exact_dedup, mixing, quality_rules, simhash
+from salesloom.llm import (
+    bpe,
+    exact_dedup,
+    html_text,
+    mixing,
+    pii,
+    quality_rules,
+    simhash,
+    toxicity,
+    warc_audit,
+    weak_labels,
+)
 from salesloom.llm.tables import corpus_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +41,11 @@ def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query("op1_semi_markov_pii")
+def semi_markov_pii(spark, folder):
+    return pii.found(corpus_table(spark, folder, "documents"))
+
+
 @query("op2_host_rules", quality_rules.SQL)
 def host_rules(spark, folder):
     columns = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept verdict"
@@ -42,16 +58,41 @@ def pareto_mix(spark, folder):
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op4_toxicity_cnn")
+def toxicity_cnn(spark, folder):
+    return toxicity.scored(
+        corpus_table(spark, folder, "documents"), corpus_table(spark, folder, "labels")
+    )
+
+
 @query("op5_simhash_groups")
 def simhash_groups(spark, folder):
     return simhash.near_groups(corpus_table(spark, folder, "documents"))
 
 
+@query("op6_merkle_audit", warc_audit.SQL)
+def merkle_audit(spark, folder):
+    pages = corpus_table(spark, folder, "pages")
+    index = warc_audit.records(pages)
+    replica = warc_audit.records(pages, damage=warc_audit.sampled_damage(pages["page_id"]))
+    return warc_audit.audit(index, replica)
+
+
 @query("op7_word_bpe")
 def word_bpe(spark, folder):
     return bpe.digests(corpus_table(spark, folder, "documents"), word_vocabulary())
 
 
+@query("op8_tag_path_text")
+def tag_path_text(spark, folder):
+    return html_text.extracted(corpus_table(spark, folder, "pages"))
+
+
+@query("op9_weak_label_quality")
+def weak_label_quality(spark, folder):
+    return weak_labels.judged(corpus_table(spark, folder, "documents"))
+
+
 @query("op10_digest_runs", exact_dedup.SQL)
 def digest_runs(spark, folder):
     return exact_dedup.exact_groups(corpus_table(spark, folder, "documents"))
