@@ -9,20 +9,18 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side of narrow rows stays near ten megabytes at this count.
-SMALL_ROWS = 100_000
+SMALL_BYTES = 10 << 20
 
 
-def broadcast_if_small(frame: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Mark a side for broadcast only after counting that it is small.
+def broadcast_if_small(frame: DataFrame, max_bytes: int = SMALL_BYTES) -> DataFrame:
+    """Mark a side for broadcast only if Spark knows it to be small.
 
-    The count stops one row past the bound. A larger side is returned
-    unmarked and joins by shuffle. Meant for a table or a stored frame, where
-    the count is cheap.
+    The size is the one Spark plans with, from the sizes of files; no job is
+    run for it. Joins are taken at the product of their sides. A larger side is
+    returned unmarked and Spark decides.
     """
-    if frame.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(frame)
-    return frame
+    size = frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(frame) if int(size) <= max_bytes else frame
 
 
 def same_keys(left: Sequence[str], right: Sequence[str]) -> Column:
