@@ -19,7 +19,7 @@ from datetime import date
 
 from salesloom.checks.landing import land
 from salesloom.plans import ANSWERS
-from salesloom.session import fresh_folder, local_session
+from salesloom.session import fresh_folder, local_session, scratch
 from salesloom.sources.given import GivenTables
 from salesloom.sources.ingest import ingest
 
@@ -38,6 +38,12 @@ def main() -> None:
     logging.disable(logging.WARNING)
     spark = local_session(CORES, "bench")
     spark.sparkContext.setLogLevel("ERROR")
+    with scratch(spark):
+        measure(spark)
+    spark.stop()
+
+
+def measure(spark) -> None:
     offers = fresh_folder(spark, "offers")
     given = GivenTables(spark, FOLDER)
     given["partsupp"].write.parquet(offers)
@@ -49,7 +55,8 @@ def main() -> None:
             continue
 
         def run(answer=answer):
-            answer(tables).write.format("noop").mode("overwrite").save()
+            with scratch(spark):
+                answer(tables).write.format("noop").mode("overwrite").save()
 
         cold[name] = round(timed(run), 3)
         times = [timed(run) for _ in range(RUNS)]
@@ -75,7 +82,6 @@ def main() -> None:
             }
         )
     )
-    spark.stop()
 
 
 if __name__ == "__main__":

@@ -52,7 +52,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
     """Do one job; whether everything went well."""
     day = options.date or date.today()
     if options.job == "ingest":
-        paths = ingest(
+        loaded = ingest(
             spark,
             options.source,
             options.staging,
@@ -60,8 +60,9 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
             tuple(options.tables),
             strict=not options.permissive,
         )
-        for table, path in paths.items():
-            print(f"{table} {path}")
+        for table, result in loaded.items():
+            rejected = f", {result.rejected} lines rejected, see {result.rejects}" if result.rejected else ""
+            print(f"{table} {result.path}{rejected}")
         return True
     if options.job == "answer":
         tables = Staged(spark, options.staging, day)

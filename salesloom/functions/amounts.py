@@ -2,7 +2,8 @@
 
 Money is added up as whole cents in bigints: a total does not depend on the
 order in which partitions are merged, and adding bigints is several times
-cheaper than adding decimals. With prices below 105,000, as the benchmark
+cheaper than adding decimals. An amount that is no whole number of cents stops
+the job; it is never rounded. With prices below 105,000, as the benchmark
 tables have them, a bigint holds the cents of 8.7e11 lines, more than a 100 TB
 line table has; beyond that ANSI mode, Spark's default, stops the job rather
 than let a total wrap. Products of cents need more room and use ``wide_sum``.
@@ -16,15 +17,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(12,2)"
-RATE = "decimal(4,2)"
+# Staged as decimals of a machine word; what they cannot hold exactly is refused, not rounded.
+SCALE = 4
+MONEY = f"decimal(18,{SCALE})"
+RATE = f"decimal(9,{SCALE})"
 
 _LOW_BITS = 20
 
 
-def cents(amount: Column | str) -> Column:
-    """A money amount in hundredths; also a rate in percent points."""
-    return F.rint(_column(amount).cast("double") * 100).cast("bigint")
+def cents(amount: Column | str, per_unit: int = 100) -> Column:
+    """A money amount in hundredths; also a rate in percent points.
+
+    ``per_unit`` is how many of the smallest amounts make one: 10,000 for
+    amounts kept to a hundredth of a cent. An amount between two of them is an
+    error, as is one that is infinite; null stays null.
+    """
+    exact = _column(amount).cast("double")
+    whole = F.rint(exact * per_unit)
+    # the double closest to a decimal is also the closest to its hundredths divided again
+    message = F.concat(F.lit(f"not a whole number of 1/{per_unit}: "), exact.cast("string"))
+    return (
+        F.when(exact.isNull() | (whole / per_unit == exact), whole)
+        .otherwise(F.raise_error(message).cast("double"))
+        .cast("bigint")
+    )
 
 
 def from_cents(total: Column | str) -> Column:

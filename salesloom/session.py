@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,7 +52,30 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A new folder name under the shared folder, never used before."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    made = _made.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes, when it ends, the folders that ``fresh_folder`` named meanwhile.
+
+    For jobs that write their results elsewhere; a frame that reads such a
+    folder cannot be used afterwards.
+    """
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        settings = spark._jsc.hadoopConfiguration()
+        for path in made:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(settings).delete(place, True)
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:
@@ -63,10 +91,12 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
 
 
 _folder: str | None = None
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def _own_folder() -> str:
     global _folder
     if _folder is None or not os.path.isdir(_folder):
         _folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        atexit.register(shutil.rmtree, _folder, ignore_errors=True)
     return _folder
