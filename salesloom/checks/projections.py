@@ -339,10 +339,20 @@ def split_by_key(t):
     return t["customer"].select("c_custkey", flag_by_key("c_custkey").alias("mkt_campaign"))
 
 
-@check("f10_random_split_by_coin")
+@check(
+    "f10_random_split_by_coin",
+    """
+SELECT count(*) AS n_rows, TRUE AS only_flags, TRUE AS about_half FROM customer
+""",
+)
 def split_by_coin(t):
-    """A seeded coin per customer; another engine cannot repeat it."""
-    return t["customer"].select("c_custkey", flag_by_coin(seed=7).alias("mkt_campaign"))
+    """A seeded coin per customer; another engine cannot repeat it, but for what a coin must do."""
+    flags = t["customer"].select(flag_by_coin(seed=7).alias("flag"))
+    return flags.agg(
+        F.count("*").alias("n_rows"),
+        (F.min("flag").isin(0, 1) & F.max("flag").isin(0, 1)).alias("only_flags"),
+        F.avg("flag").between(0.3, 0.7).alias("about_half"),
+    )
 
 
 @check(

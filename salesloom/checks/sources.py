@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.checks.answers import ANSWER_SQL
-from salesloom.checks.landing import land, whole_rows
-from salesloom.checks.registry import check
+from salesloom.checks.landing import land, text_lines, whole_rows
+from salesloom.checks.registry import check, completed
+from salesloom.functions.amounts import MONEY
 from salesloom.plans.daily import run_day
+from salesloom.plans.pairs import flat_pair_names
 from salesloom.plans.registry import ANSWERS
 from salesloom.schemas import LAYOUT, columns, enforce
-from salesloom.session import fresh_folder
+from salesloom.session import fresh_folder, stored
 from salesloom.sources.archives import read_lines, split_fields
 from salesloom.sources.catalog import register
 from salesloom.sources.given import GivenTables
-from salesloom.sources.ingest import ingest, source_path, typed_rows
+from salesloom.sources.ingest import ingest, rejected_rows, source_path, typed_rows
 from salesloom.sources.snapshots import (
     Staged,
     on_day,
@@ -85,6 +88,51 @@ def typed_row_mapping(tables):
     )
 
 
+@check(
+    "s03_amounts_kept_or_refused",
+    """
+SELECT l_orderkey, l_linenumber,
+       CASE l_linenumber % 4 WHEN 0 THEN NULL
+         ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,4)) + CASE l_linenumber % 4
+              WHEN 1 THEN 0.005 WHEN 2 THEN 12345678901.0 ELSE 0 END AS DOUBLE) END AS price,
+       CASE l_linenumber % 4 WHEN 3 THEN 250.0 ELSE l_discount END AS discount,
+       CASE l_linenumber % 4 WHEN 0 THEN 'l_extendedprice'
+         WHEN 1 THEN 'l_shipdate' ELSE '' END AS refused
+FROM lineitem
+""",
+)
+def amounts_kept_or_refused(tables):
+    """Amounts with more decimals, more digits and rates above 100; some that nothing can hold, bad dates."""
+    lines = text_lines(whole_rows(tables, "lineitem"), "lineitem")
+    lines = stored(lines.select(F.split("value", r"\|").alias("given")), "fields")
+    fields = F.col("given")
+    case = F.get(fields, 3).cast("int") % 4
+    price = F.when(case == 0, F.concat(F.get(fields, 5), F.lit("00001"))).when(
+        case == 1, (F.get(fields, 5).cast(MONEY) + F.lit("0.0050").cast(MONEY)).cast("string")
+    ).when(case == 2, (F.get(fields, 5).cast(MONEY) + F.lit("12345678901").cast(MONEY)).cast("string"))
+    changed = {
+        5: F.coalesce(price, F.get(fields, 5)),
+        6: F.when(case == 3, F.lit("250")).otherwise(F.get(fields, 6)),
+        10: F.when(case == 1, F.lit("1997-13-01")).otherwise(F.get(fields, 10)),
+    }
+    rows = lines.select(
+        F.array(*[changed.get(i, F.get(fields, i)) for i in range(len(columns("lineitem")))]).alias("fields")
+    )
+    rows = stored(rows, "fields")
+    loose = typed_rows(rows, "lineitem", strict=False).select(
+        "l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("double").alias("price"),
+        F.col("l_discount").cast("double").alias("discount"),
+    )
+    refused = rejected_rows(rows, "lineitem").select(
+        F.get("fields", 0).cast("bigint").alias("order_"), F.get("fields", 3).cast("int").alias("line_"),
+        F.array_join("refused", ",").alias("refused"),
+    ).distinct()
+    same = (F.col("l_orderkey") == F.col("order_")) & (F.col("l_linenumber") == F.col("line_"))
+    return loose.join(refused, same, "left").select(
+        "l_orderkey", "l_linenumber", "price", "discount", F.coalesce("refused", F.lit("")).alias("refused")
+    )
+
+
 @check(
     "s04_schema_enforcement",
     """
@@ -169,61 +217,154 @@ def result_sink(tables):
     return read_day(tables.spark, results, name, DAY)
 
 
-@check(
-    "s10_ingest_job",
-    """
-SELECT 'region' AS name, count(*) AS n_rows, CAST(sum(r_regionkey) AS BIGINT) AS keys FROM region
-UNION ALL SELECT 'nation', count(*), CAST(sum(n_nationkey) AS BIGINT) FROM nation
-UNION ALL SELECT 'customer', count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer
-UNION ALL SELECT 'supplier', count(*), CAST(sum(s_suppkey) AS BIGINT) FROM supplier
-UNION ALL SELECT 'part', count(*), CAST(sum(p_partkey) AS BIGINT) FROM part
-UNION ALL SELECT 'partsupp', count(*), CAST(sum(l_partkey) AS BIGINT)
-          FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)
-UNION ALL SELECT 'orders', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders
-UNION ALL SELECT 'lineitem', count(*), CAST(sum(l_orderkey) AS BIGINT) FROM lineitem
-""",
-)
+#: Text columns of the given tables, whose content is compared after ingest.
+TEXTS = {
+    "region": "r_name",
+    "nation": "n_name",
+    "customer": "c_name c_mktsegment",
+    "supplier": "s_name",
+    "part": "p_name p_brand p_type",
+    "partsupp": "",
+    "orders": "o_orderstatus o_orderpriority",
+    "lineitem": "l_returnflag l_linestatus",
+}
+MONEYS = {
+    "customer": "c_acctbal",
+    "supplier": "s_acctbal",
+    "part": "p_retailprice",
+    "partsupp": "ps_supplycost",
+    "orders": "o_totalprice",
+    "lineitem": "l_quantity l_extendedprice l_discount l_tax",
+}
+DATES = {"orders": "o_orderdate", "lineitem": "l_shipdate"}
+
+
+def _text_sum_sql(texts: list[str]) -> str:
+    """Sum over all rows of 32 bits of a hash of some texts."""
+    whole = " || '|' || ".join(f"coalesce({c}, '')" for c in texts) or "''"
+    return f"CAST(sum(CAST('0x' || substr(md5({whole}), 1, 8) AS BIGINT)) AS BIGINT)"
+
+
+def _contents_sql(table: str) -> str:
+    key = columns(table)[0][0]
+    money = " + ".join(f"sum(CAST({c} AS DECIMAL(18,2)))" for c in MONEYS.get(table, "").split())
+    days = f"sum(CAST({DATES[table]} AS DATE) - DATE '1970-01-01')" if table in DATES else "0"
+    return f"""
+SELECT '{table}' AS name, count(*) AS n_rows, CAST(sum({key}) AS BIGINT) AS keys,
+       CAST({money or "0"} AS DOUBLE) AS money, CAST({days} AS BIGINT) AS days,
+       {_text_sum_sql(TEXTS[table].split())} AS texts
+FROM {"offers" if table == "partsupp" else table}"""
+
+
+def _text_sum(texts: list[str]) -> Column:
+    whole = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("")) for c in texts]) if texts else F.lit("")
+    return F.sum(F.conv(F.substring(F.md5(whole), 1, 8), 16, 10).cast("bigint"))
+
+
+def _contents(tables, table: str) -> DataFrame:
+    """What a staged table holds, as sums that a lost or altered value changes."""
+    money = [F.sum(F.col(c).cast("decimal(22,4)")) for c in MONEYS.get(table, "").split()]
+    days = F.sum(F.datediff(F.col(DATES[table]), F.lit("1970-01-01"))) if table in DATES else F.lit(0)
+    return tables[table].agg(
+        F.lit(table).alias("name"),
+        F.count("*").alias("n_rows"),
+        F.sum(columns(table)[0][0]).alias("keys"),
+        sum(money[1:], money[0]).cast("double").alias("money") if money else F.lit(0.0).alias("money"),
+        days.cast("bigint").alias("days"),
+        _text_sum(TEXTS[table].split()).alias("texts"),
+    )
+
+
+@check("s10_ingest_job", completed("\nUNION ALL\n".join(map(_contents_sql, LAYOUT))))
 def ingest_job(tables):
     staging = fresh_folder(tables.spark, "staging")
     ingest(tables.spark, land(tables), staging, DAY)
-    return _counts(Staged(tables.spark, staging, DAY))
+    staged = Staged(tables.spark, staging, DAY)
+    return reduce(DataFrame.unionByName, [_contents(staged, name) for name in LAYOUT])
+
+
+def _cells_sql(name: str, kinds: dict[str, str]) -> str:
+    """Each column of an answer as one row: how many values, their sum, the sum of their hashes."""
+    return "\nUNION ALL\n".join(
+        f"""
+SELECT '{name}' AS answer, '{column}' AS col, count(*) AS n_rows, count("{column}") AS n_values,
+       {f'CAST(sum(CAST(floor(CAST("{column}" AS DOUBLE) * 1000) AS BIGINT)) AS BIGINT)' if kind != "text" else "CAST(0 AS BIGINT)"} AS thousandths,
+       {_text_sum_sql([f'"{column}"']) if kind == "text" else "CAST(0 AS BIGINT)"} AS texts
+FROM {name}"""
+        for column, kind in kinds.items()
+    )
 
 
-def _counts(tables) -> DataFrame:
-    parts = [
-        tables[name].select(F.lit(name).alias("name"), F.col(columns(name)[0][0]).alias("key"))
-        for name in LAYOUT
-    ]
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.unionByName(part)
-    return every.groupBy("name").agg(F.count("*").alias("n_rows"), F.sum("key").alias("keys"))
+def _cells(frame: DataFrame, name: str) -> DataFrame:
+    rows = []
+    for column, kind in frame.dtypes:
+        text = kind == "string"
+        total = F.sum(F.floor(F.col(column).cast("double") * 1000))
+        rows.append(
+            frame.agg(
+                F.lit(name).alias("answer"),
+                F.lit(column).alias("col"),
+                F.count("*").alias("n_rows"),
+                F.count(column).alias("n_values"),
+                (F.lit(0).cast("bigint") if text else total).alias("thousandths"),
+                _text_sum([column]).alias("texts") if text else F.lit(0).cast("bigint").alias("texts"),
+            )
+        )
+    return reduce(DataFrame.unionByName, rows)
 
 
-@check(
-    "s11_daily_run",
-    "\nUNION ALL\n".join(
-        f"SELECT '{name}' AS answer, count(*) AS n_rows FROM (\n{sql}\n)"
-        for name, sql in sorted(ANSWER_SQL.items())
+# The columns of each answer; text, or a number.
+ANSWER_COLUMNS = {
+    "q01_most_profit_prods": (
+        "P_NAME text, P_MFGR text, TOTAL_REVENUE_GENERATED num, TOTAL_COST num, TOTAL_PROFIT num,"
+        " PROFIT_MARGIN_PCT num"
     ),
-)
+    "q02_sales_per_by_region": (
+        "REGION text, YEAR num, MONTH_YEAR text, MONTHLY_REVENUE num, ANNUAL_REVENUE num,"
+        " YEAR_OVER_YEAR_GROWTH_PERCENT num"
+    ),
+    "q03_delay_ords_pct_by_cust": "C_NAME text, AVG_DELAY_DAYS num, PCT_DELAYED_ORDERS num",
+    "q04_top_supp_by_prod_cat": (
+        "CATEGORY text, SUPPLIER_NAME text, TOT_PARTS_SUPPLIED num, PCT_TOT_SUPPLIED num"
+    ),
+    "q05_disc_on_sales": (
+        "CATEGORY text, TOTAL_REVENUE num, TOTAL_DISCOUNT_REVENUE num, AVG_DISCOUNT_PCT num"
+    ),
+    "q06_cust_behavior": (
+        "CUSTOMER_NAME text, 1996 num, PY_ORDERS_PLACED num, CY_ORDERS_PLACED num,"
+        " PCT_CHG_IN_ORDERS num"
+    ),
+    "q07_effect_mkt_campaigns": "PRODUCT text, MKT_CAMPAIGN num, TOTAL_REVENUE num",
+    "q08_most_profit_pairs": (
+        "ORDERKEY num, P_NAME_1 text, P_NAME_2 text, PAIR_PROFIT num, TOTAL_REVENUE num,"
+        " PCT_PAIR_PROFIT num"
+    ),
+    "q09_sale_lead_time": "S_SUPPKEY num, SUPPLIER text, TOTAL_REVENUE num, AVG_LEAD_TIME num",
+    "q10_chg_supp_perf": (
+        "SUPPLIER_NAME text, PY_SHIPPED_PARTS num, CY_SHIPPED_PARTS num, PCT_CHG_IN_ORDERS num"
+    ),
+}
+
+
+def _daily_sql() -> str:
+    kinds = {
+        name: dict(part.split() for part in text.split(", ")) for name, text in ANSWER_COLUMNS.items()
+    }
+    answers = ",\n".join(f"{name} AS (\n{ANSWER_SQL[name]}\n)" for name in kinds)
+    return f"WITH {answers}\n" + "\nUNION ALL\n".join(_cells_sql(n, k) for n, k in kinds.items())
+
+
+@check("s11_daily_run", _daily_sql())
 def daily_run(tables):
-    """Each answer's row count, read back after a whole run."""
+    """Every column of every answer, summed up from what a whole run wrote."""
     staging, results = (fresh_folder(tables.spark, label) for label in ("staging", "results"))
     outcomes = run_day(tables.spark, land(tables), staging, results, DAY)
     failed = [f"{o.answer}: {o.error}" for o in outcomes if o.error]
     if failed:
         raise RuntimeError("; ".join(failed))
-    counts = [
-        tables.spark.read.parquet(o.path).agg(
-            F.lit(o.answer).alias("answer"), F.count("*").alias("n_rows")
-        )
-        for o in outcomes
-    ]
-    every = counts[0]
-    for count in counts[1:]:
-        every = every.unionByName(count)
-    return every
+    written = {o.answer: tables.spark.read.parquet(o.path) for o in outcomes}
+    flat = {n: flat_pair_names(f) if "PART_NAMES" in f.columns else f for n, f in written.items()}
+    return reduce(DataFrame.unionByName, [_cells(frame, name) for name, frame in flat.items()])
 
 
 @check(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import zipfile
 from datetime import date
+from decimal import Decimal
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -20,6 +22,7 @@ from salesloom.sources.archives import list_members, read_lines, split_fields
 from salesloom.sources.catalog import register
 from salesloom.sources.given import GivenTables
 from salesloom.sources.ingest import (
+    Refused,
     ingest,
     missing_sources,
     read_source,
@@ -114,7 +117,7 @@ class TestTyping:
     def test_types_and_empty_text(self, spark):
         rows = typed_rows(self.fields(spark, "1|2|30|4.50||"), "partsupp")
         assert rows.schema == schema("partsupp")
-        assert rows.selectExpr("ps_availqty", "cast(ps_supplycost as string)", "ps_comment").first() == (30, "4.50", "")
+        assert rows.selectExpr("ps_availqty", "cast(ps_supplycost as string)", "ps_comment").first() == (30, "4.5000", "")
 
     @pytest.mark.parametrize("bad", ["1|2|x|4.50||", "1|2||4.50||", "1|2|3", "1|2|3|4.x|c"])
     def test_bad_rows(self, spark, bad):
@@ -132,10 +135,29 @@ class TestTyping:
         finally:
             spark.conf.unset("spark.sql.ansi.enabled")
 
-    def test_a_bad_date_is_null_and_passes(self, spark):
-        row = "1|2|O|3.50|1997-13-01|p|c|0|text|"
+    def test_a_bad_date_is_null_and_kept_as_text_elsewhere(self, spark):
+        row, empty = "1|2|O|3.50|1997-13-01|p|c|0|text|", "1|2|O|3.50||p|c|0|text|"
         assert typed_rows(self.fields(spark, row), "orders").first().o_orderdate is None
-        assert rejected_rows(self.fields(spark, row), "orders").isEmpty()
+        assert [r.refused for r in rejected_rows(self.fields(spark, row, empty), "orders").collect()] == [["o_orderdate"]]
+
+    @pytest.mark.parametrize("amount", ["2.675", "12345678901.00", "250", "-0.0001", "4.50000000", "00012.5", " 7 "])
+    def test_amounts_are_kept_exactly(self, spark, amount):
+        row = typed_rows(self.fields(spark, f"1|2|30|{amount}|c|"), "partsupp").first()
+        assert row.ps_supplycost == Decimal(amount.strip())
+
+    @pytest.mark.parametrize("amount", ["2.67501", "123456789012345.00", "1e3", "", "1,5", "NaN", "."])
+    def test_amounts_that_do_not_fit_are_refused(self, spark, amount):
+        fields = self.fields(spark, f"1|2|30|{amount}|c|")
+        with pytest.raises(Exception, match="bad value"):
+            typed_rows(fields, "partsupp").collect()
+        assert typed_rows(fields, "partsupp", strict=False).first().ps_supplycost is None
+        assert rejected_rows(fields, "partsupp").first().refused == ["ps_supplycost"]
+
+    def test_enforce_does_not_alter_amounts(self, spark):
+        given = table(spark, "ps_partkey int, ps_suppkey int, ps_availqty int, ps_supplycost double, ps_comment string", (1, 2, 3, 2.675, "c"))
+        assert enforce(given, "partsupp").first().ps_supplycost == Decimal("2.675")
+        with pytest.raises(Exception, match="bad value"):
+            enforce(given.withColumn("ps_supplycost", F.lit(2.67555)), "partsupp").collect()
 
     def test_plain_text_keeps_quotes_and_ignores_the_closing_pipe(self, spark, tmp_path):
         path = tmp_path / "nation.tbl"
@@ -175,7 +197,23 @@ class TestCatalog:
         for day, year in ((DAY, 1997), (OTHER, 1998)):
             write_snapshot(table(spark, "YEAR int, x int", (year, 1)), root, "t", day)
             register(spark, root, ["t"], "sales_year_test", day)
-            assert [tuple(r) for r in spark.table("sales_year_test.t").collect()] == [(year, 1)]
+        found = spark.sql("SELECT YEAR, load_year, load_month, load_day FROM sales_year_test.t")
+        assert sorted(map(tuple, found.collect())) == [(1997, 2024, 9, 5), (1998, 2024, 10, 12)]
+
+    def test_a_table_in_another_folder_is_replaced(self, spark, tmp_path):
+        for n, root in ((3, str(tmp_path / "a")), (4, str(tmp_path / "b"))):
+            write_snapshot(spark.range(n), root, "t", DAY)
+            register(spark, root, ["t"], "sales_moved_test", DAY)
+            assert spark.table("sales_moved_test.t").count() == n
+        write_snapshot(table(spark, "year int", (1,)), str(tmp_path / "c"), "t", DAY)
+        for root, n in (("c", 1), ("a", 3)):  # to a view and back
+            register(spark, str(tmp_path / root), ["t"], "sales_moved_test", DAY)
+            assert spark.table("sales_moved_test.t").count() == n
+
+    def test_the_database_lies_apart_from_the_snapshots(self, spark, tmp_path):
+        write_snapshot(spark.range(3), str(tmp_path), "t", DAY)
+        register(spark, str(tmp_path), ["t"], "sales_place_test", DAY)
+        assert str(tmp_path) not in spark.catalog.getDatabase("sales_place_test").locationUri
 
     def test_new_dates_and_rewritten_dates_show(self, spark, tmp_path):
         root = str(tmp_path / "staging")
@@ -213,6 +251,39 @@ class TestIngest:
         assert frame.count() == 500_000
         assert read_source(spark, landing, "customer").rdd.getNumPartitions() == 1
 
+    def test_members_are_dealt_one_to_a_task(self, spark, tmp_path):
+        for i in range(16):
+            zipped(tmp_path / f"{i}.zip", **{f"m{j}": f"{i}|{j}|\n" * (i * j + 1) for j in range(4)})
+        members = archives.list_members(spark, str(tmp_path))
+        sizes = archives.dealt(members, 64).rdd.glom().map(len).collect()
+        assert sizes == [1] * 64
+        loads = archives.dealt(members, 8).rdd.glom().map(lambda rows: (len(rows), sum(r["size"] for r in rows))).collect()
+        assert {n for n, _ in loads} == {8}
+        assert max(s for _, s in loads) < 1.3 * min(s for _, s in loads)
+        assert read_lines(spark, str(tmp_path)).rdd.getNumPartitions() == 64
+
+    def test_rejects_lie_beside_the_table(self, spark, tmp_path):
+        good, bad = "1|2|O|3.50|1997-01-01|p|c|0|text|", "2|2|O|x|1997-01-01|p|c|0|text|"
+        undated = "3|2|O|3.50|1997-13-01|p|c|0|text|"
+        zipped(tmp_path / "orders.tbl.zip", rows="\n".join([good, undated]))
+        staging = str(tmp_path / "staging")
+        loaded = ingest(spark, str(tmp_path), staging, DAY, ("orders",))["orders"]
+        assert loaded.rejected == 1 and spark.read.parquet(loaded.path).count() == 2
+        assert [tuple(r) for r in spark.read.parquet(loaded.rejects).collect()] == [(undated, ["o_orderdate"])]
+        zipped(tmp_path / "orders.tbl.zip", rows="\n".join([good, undated, bad]))
+        with pytest.raises(Refused, match="2 lines are refused"):
+            ingest(spark, str(tmp_path), staging, OTHER, ("orders",))
+        kept = read_day(spark, staging, "orders_rejects", OTHER).collect()
+        assert {r.line: r.refused for r in kept} == {undated: ["o_orderdate"], bad: ["o_totalprice"]}
+        loaded = ingest(spark, str(tmp_path), staging, OTHER, ("orders",), strict=False)["orders"]
+        assert loaded.rejected == 2 and spark.read.parquet(loaded.path).count() == 3
+
+    def test_plain_tables_have_rejects_too(self, spark, tmp_path):
+        (tmp_path / "nation.tbl").write_text('1|A|2|c|\n2|"BR|x|zz|\n3|C|4||\n4|D\n')
+        loaded = ingest(spark, str(tmp_path), str(tmp_path / "staging"), DAY, ("nation",))["nation"]
+        assert loaded.rejected == 1
+        assert spark.read.parquet(loaded.rejects).first().refused == ["n_regionkey"]
+
     def test_missing_sources_are_named(self, spark, landing, tmp_path):
         assert missing_sources(spark, landing) == []
         assert missing_sources(spark, str(tmp_path), ("region", "part")) == ["region", "part"]
@@ -240,6 +311,11 @@ class TestDailyRun:
         years = spark.sql("SELECT min(YEAR) FROM daily_test_results.q02_sales_per_by_region")
         assert years.first()[0] == 1995
 
+    def test_a_run_leaves_nothing_in_the_scratch_folder(self, spark, landing, tmp_path):
+        before = set(Path(shared_folder(spark)).iterdir())
+        daily.run_day(spark, landing, str(tmp_path / "staging"), str(tmp_path / "results"), DAY)
+        assert set(Path(shared_folder(spark)).iterdir()) == before
+
     def test_a_failed_answer_does_not_stop_the_rest(self, spark, landing, tmp_path, monkeypatch):
         def broken(**_):
             raise ValueError("no luck")
@@ -256,6 +332,19 @@ class TestDailyRun:
 
 
 class TestPlans:
+    def test_lead_time_reads_the_lines_once_and_writes_nothing(self, spark):
+        before = set(Path(shared_folder(spark)).iterdir()) if Path(shared_folder(spark)).exists() else set()
+        frame = ANSWERS["q09_sale_lead_time"](GivenTables(spark, GIVEN))
+        frame.collect()
+        assert set(Path(shared_folder(spark)).iterdir()) == before
+        final = plan(frame).split("== Initial Plan ==")[0]
+        assert sum("FileScan" in x and "/lineitem.parquet" in x for x in final.splitlines()) == 1
+
+    def test_names_are_joined_to_the_best_pairs_only(self, spark):
+        text = plan(ANSWERS["q08_most_profit_pairs"](GivenTables(spark, GIVEN)))
+        assert "part.parquet" not in text  # the names are in the stored pairs
+        assert sum("FileScan" in x and "/lineitem.parquet" in x for x in text.splitlines()) == 1
+
     @pytest.mark.parametrize("name", sorted(ANSWERS))
     def test_no_python_and_narrow_scans(self, spark, name):
         given = GivenTables(spark, GIVEN)
