@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesloom.llm.tables import join_salted
 from salesloom.session import stored
 
 WEIGHTS = (3, 1, 2)
@@ -101,11 +102,12 @@ def _cut(rows: DataFrame, room: DataFrame) -> DataFrame:
         return first
 
     width = 1.0
-    inside = rows.join(room.withColumn("before", F.lit(0).cast("long")), "key")
+    start = room.withColumn("before", F.lit(0).cast("long"))
+    inside = join_salted(rows, start, "key", "rank", "inner")
     for _ in range(2):
         width /= INTERVALS
         edge = crossing(inside, F.floor(F.col("rank") / width) * F.lit(width))
-        inside = rows.join(edge, "key").where(
+        inside = join_salted(rows, edge, "key", "rank", "inner").where(
             (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("lo") + width)
         )
     ends = crossing(inside, F.col("rank")).select("key", F.col("lo").alias("end"), F.col("before").alias("words"))
@@ -144,12 +146,14 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
         (F.col("target") - F.floor(ratio) * F.col("source_size")).alias("room"),
     )
     plan = stored(plan.withColumn("most_1", F.col("source_size")), "mix-plan")
-    ranked = slim.where("size > 0").join(plan.where("open_share > 0").select("key", "open_share", "mean_size"), "key")
+    open_ = plan.where("open_share > 0").select("key", "open_share", "mean_size")
+    ranked = join_salted(slim.where("size > 0"), open_, "key", "odds", "inner")
     ranked = ranked.select("key", "size", rank_of(F.col("odds"), F.col("size"), F.col("open_share"), F.col("mean_size")).alias("rank"))
     for i in range(1, ROUNDS + 1):
         left = ranked
         if i > 1:
-            left = ranked.join(plan.select("key", f"most_{i}", f"end_{i - 1}"), "key").where(
+            last = plan.select("key", f"most_{i}", f"end_{i - 1}")
+            left = join_salted(ranked, last, "key", "rank", "inner").where(
                 f"size <= most_{i} AND rank >= end_{i - 1}"
             ).select("key", "size", "rank")
         cut = _cut(left, plan.where("open_share > 0").select("key", "room"))
@@ -173,13 +177,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     is a hash of the id: runs agree.
     """
     plan = plan_mix(docs, id_col, text_col, source_col, weights, share, cap)
-    rows = docs.select(
+    rows = join_salted(docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("doc"),
         docs[id_col].alias("doc_id"),
         random_odds(docs[id_col]).alias("odds"),
         n_words(docs[text_col]).alias("size"),
         source_key(docs[source_col]).alias("key"),
-    ).join(plan, "key")
+    ), plan, "key", "odds", "inner")
     rank = rank_of(F.col("odds"), F.col("size"), F.col("open_share"), F.col("mean_size"))
     drawn = F.lit(False)
     for i in range(1, ROUNDS + 1):
