@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.llm.tables import ids_and_texts
+from salesloom.session import stored
 
 ENTRY = ["digest", "n_chars", "other_hash"]
 
@@ -32,7 +33,7 @@ def _runs(docs: DataFrame, fan_in: int) -> int:
 
 
 def leaves(docs: DataFrame, id_col: str, text_col: str, runs: int) -> DataFrame:
-    """One row per document and text, dealt by digest and run."""
+    """One row per document and text. They are stored: three steps read them, and texts are read once."""
     rows = ids_and_texts(docs, id_col, text_col).select(
         "doc_id",
         F.unhex(F.sha2("text", 256)).alias("digest"),
@@ -40,8 +41,7 @@ def leaves(docs: DataFrame, id_col: str, text_col: str, runs: int) -> DataFrame:
         F.xxhash64("text").alias("other_hash"),
         F.pmod(F.xxhash64("doc_id"), F.lit(runs)).alias("run"),
     )
-    dealt = rows.repartition("digest", "run")
-    return dealt.groupBy(*ENTRY, "run", "doc_id").agg(F.count("*").alias("copies"))
+    return stored(rows.groupBy(*ENTRY, "run", "doc_id").agg(F.count("*").alias("copies")), "digests")
 
 
 def merged(runs_of_entries: DataFrame, runs: int, fan_in: int) -> DataFrame:
