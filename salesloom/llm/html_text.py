@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 
 THRESHOLD = 0.3  # of the mean score
-SPREAD = 2.0  # steps in the tree over which scores are smoothed
+SPREAD = 1.0  # steps in the tree over which scores are smoothed
 BORDER = 3  # steps that the edge of an article counts more
+INSIDE = 0.5  # what a step within one article counts
 SMOOTHED_BY = 200  # paths with the most text that others are smoothed by
 
 # Elements and marks of the HTML standard and common names of page parts.
@@ -102,14 +103,16 @@ class Paths:
             self.article.append(found if tag in ARTICLE else inside)
         return found
 
-    def distance(self, a: int, b: int) -> int:
-        """Steps between two paths; leaving or entering an article counts more."""
-        steps = 0 if self.article[a] == self.article[b] else BORDER
+    def distance(self, a: int, b: int) -> float:
+        """Steps between two paths; leaving or entering an article counts more, staying in it less."""
+        same = self.article[a] == self.article[b]
+        steps = 0 if same else BORDER
+        step = INSIDE if same and self.article[a] else 1
         while a != b:
             if self.depth[a] < self.depth[b]:
                 a, b = b, a
             a = self.parent[a]
-            steps += 1
+            steps += step
         return steps
 
 

@@ -25,7 +25,6 @@ per document, whatever the number of copies.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -90,8 +89,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 class Forest:
     """Trees that measure on ``chosen`` of ``blocks`` blocks of bits, with balls of ``ball`` bits.
 
-    Exact for a radius r if r bits cannot leave every choice of blocks with more
-    than ``ball`` differing bits; ``for_points`` gives such forests.
+    Exact if ``radius`` differing bits cannot leave every choice of blocks with
+    more than ``ball`` of them; others are refused.
     """
 
     blocks: int
@@ -109,7 +108,9 @@ class Forest:
         return Forest(radius + spare, spare, 0, (8, 10, 12)[spare - 1], radius)
 
     def __post_init__(self):
-        worst = math.ceil((self.radius + 1) * self.chosen / self.blocks) - 1
+        # bits that differ are worst when spread evenly; some tree measures on the blocks with the fewest
+        each, more = divmod(self.radius, self.blocks)
+        worst = self.chosen * each + max(0, self.chosen - (self.blocks - more))
         assert self.ball >= worst, "a pair could be missed"
 
     def masks(self) -> list[int]:
@@ -149,10 +150,10 @@ def shards(points: DataFrame, forest: Forest) -> DataFrame:
                 continue
             lowest = F.floor(F.greatest(distance - forest.ball, F.lit(0)) / forest.width)
             highest = F.floor((distance + forest.ball) / forest.width)
-            rows = rows.withColumn("_visit", F.explode(F.sequence(lowest, highest)).cast("byte"))
+            rows = rows.withColumn("_visit", F.explode(F.sequence(lowest, highest)))
             rows = rows.select(
                 "fp",
-                F.concat("shard", F.array("_visit")).alias("shard"),
+                F.concat("shard", F.array(F.col("_visit").cast("byte"))).alias("shard"),
                 (F.col("home") & (F.col("_visit") == child)).alias("home"),
             )
         parts.append(rows)

@@ -1,0 +1,91 @@
+"""Small corpora and slow, plain versions of what the operators do."""
+
+from __future__ import annotations
+
+import re
+
+import duckdb
+import xxhash
+
+FOLDER = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+#: Columns that operators use for themselves, as columns of the input.
+CLASHING = (
+    "size taken copies kept keep_id group_size run digest fp shard home cell doc host m key rank odds whole"
+    " verdict score predicted held_out votes label spans component_id _gone _id _salt _copy n_words ids decoded"
+).split()
+
+
+def with_clashes(frame):
+    from pyspark.sql import functions as F
+
+    return frame.select("*", *[F.lit(i % 3).alias(c) for i, c in enumerate(CLASHING)])
+
+
+def edge_rows():
+    long_text = " ".join(f"w{i % 977} Word{i % 31}." for i in range(60_000))
+    prose = " ".join(f"plain{i} word{i * 7 % 60}," for i in range(40)) + " and an end."
+    return [
+        (1, None, None, None, None),
+        (2, "", "en", "a", 0),
+        (3, " \t\n\x0b\x0c\r ", "en", "a", 6),
+        (4, "x y z", "en", "a", 5),
+        (4, "x y z", "en", "a", 5),
+        (5, "x y z", "de", None, 5),
+        (None, "x y z", "en", "b", 5),
+        (None, None, None, None, None),
+        (6, long_text, "en", "b", len(long_text)),
+        (7, prose, "en", "b", len(prose)),
+        (8, prose, "en", "c", len(prose)),
+        (9, "é ü 日本語 🙂 +1 (555) 010-9999 joe@mail.example.com 1.2.3.4\n\n###", "fr", "c", 60),
+        (10, "A" * 50_000, "en", "c", 50_000),
+    ]
+
+
+def edge(spark):
+    return with_clashes(spark.createDataFrame(edge_rows(), DOCS))
+
+
+def nothing(spark):
+    return with_clashes(spark.createDataFrame([], DOCS))
+
+
+def given_docs(folder=FOLDER):
+    return duckdb.sql(f"SELECT doc_id, text, source FROM '{folder}/documents.parquet'").fetchall()
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def slow_fingerprint(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    w = words(low)
+    if not w:
+        return 0
+    shingles = [" ".join(w[i : i + 3]) for i in range(max(1, len(w) - 2))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def slow_components(points, close):
+    """The least index each point can reach, by comparing all pairs."""
+    label = list(range(len(points)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i in range(len(points)):
+        for j in range(i):
+            if close(points[i], points[j]):
+                a, b = root(i), root(j)
+                label[max(a, b)] = min(a, b)
+    return [root(i) for i in range(len(points))]
+
+
+def plain(rows, *columns):
+    """Rows as sorted tuples; None sorts first."""
+    picked = [tuple(r[c] for c in columns) for r in rows]
+    return sorted(picked, key=lambda t: tuple((v is not None, v if v is not None else 0) for v in t))

@@ -1,0 +1,99 @@
+from __future__ import annotations
+
+import duckdb
+import pytest
+from llm.corpus import edge, edge_rows, nothing, with_clashes, words
+from pyspark.sql import functions as F
+
+from salesloom.llm import mixing
+
+
+def slow_targets(sizes):
+    """Share out 150 %, cut at twice the size, share the excess, until none is above."""
+    order = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}
+    left, target, open_ = 1.5 * sum(sizes.values()), {}, set(order)
+    while open_:
+        share = left / sum(weight[s] for s in open_)
+        full = {s for s in open_ if share * weight[s] >= 2 * sizes[s]}
+        if not full:
+            target |= {s: share * weight[s] for s in open_}
+            break
+        for s in full:
+            target[s] = 2.0 * sizes[s]
+            left -= target[s]
+        open_ -= full
+    return target
+
+
+def sizes_of(rows):
+    out = {}
+    for _, text, _, source, *_ in rows:
+        out[source] = out.get(source, 0) + len(words(text))
+    return out
+
+
+def test_edges(spark):
+    taken = mixing.mix(edge(spark)).select("*", F.col("doc.source").alias("source")).collect()
+    sizes = sizes_of(edge_rows())
+    target = slow_targets(sizes)
+    assert len(taken) == len(edge_rows())
+    for r in taken:
+        assert r["source_size"] == sizes[r.source]
+        assert r.target == pytest.approx(target[r.source])
+        assert r.taken == r["copies"] * r["size"] <= 2 * r["size"]
+    assert mixing.mix(nothing(spark)).count() == 0
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    rows = spark.range(6000).select(
+        F.col("id").alias("doc_id"),
+        F.repeat(F.lit("w "), (F.col("id") * 37 % 101 + F.when(F.col("id") % 197 == 5, 3000).otherwise(1)).cast("int")).alias("text"),
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, None).otherwise(
+            F.concat(F.lit("s"), (F.col("id") % 7).cast("string"))
+        ).alias("source"),
+    )
+    return with_clashes(rows)
+
+
+def test_words_come_near_the_targets(spark, many):
+    rows = mixing.mix(many).select("doc_id", "size", "source_size", "target", "taken", F.col("doc.source").alias("source"))
+    got = rows.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.first("source_size").alias("n")).collect()
+    aim = slow_targets({r.source: r.n for r in got})
+    assert len(got) == 9
+    for r in got:
+        assert r.target == pytest.approx(aim[r.source])
+        assert abs(r.taken - r.target) <= max(5, 0.002 * r.target)
+    assert rows.where("taken > 2 * size OR taken % size <> 0").count() == 0
+
+
+def test_runs_agree_and_rows_are_repeated(spark, many):
+    once = {r.doc_id: r.taken for r in mixing.mix(many).collect()}
+    again = {r.doc_id: r.taken for r in mixing.mix(many.repartition(7)).collect()}
+    assert once == again
+    copies = {r.doc_id: r["n"] for r in mixing.mixed(many).groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+    size = {r.doc_id: r["size"] for r in mixing.mix(many).collect()}
+    assert {i: n * size[i] for i, n in copies.items()} == {i: t for i, t in once.items() if t}
+    assert mixing.mixed(many).columns == many.columns
+
+
+def test_longer_documents_are_drawn_less_often(spark, many):
+    drawn = mixing.mix(many).where("size > 0 AND target < 2 * source_size")
+    once_more = (F.col("copies") > F.floor(F.col("target") / F.col("source_size"))).cast("int")
+    rate = drawn.groupBy((F.col("size") > 1000).alias("long")).agg(F.avg(once_more).alias("rate"))
+    rates = {r["long"]: r["rate"] for r in rate.collect()}
+    assert 0 < rates[True] < rates[False]
+
+
+def test_sql_gives_the_same_mix(spark, many, tmp_path):
+    many.select("doc_id", "text", "source").write.parquet(str(tmp_path / "docs"))
+    documents = duckdb.sql(f"SELECT * FROM '{tmp_path}/docs/*.parquet'")  # noqa: F841
+    theirs = sorted(duckdb.sql(mixing.SQL).fetchall())
+    ours = sorted(tuple(r) for r in mixing.mix(many).select("doc_id", "size", "source_size", "target", "taken").collect())
+    assert ours == theirs
+
+
+def test_no_python_in_the_plan(spark, many):
+    plan = mixing.mix(many)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan

@@ -1,0 +1,112 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from llm.corpus import edge, edge_rows, given_docs, nothing, slow_components, slow_fingerprint
+
+from salesloom.llm import simhash
+from salesloom.llm.components import components
+
+
+def close(a, b):
+    return bin(a ^ b).count("1") <= 3
+
+
+def unsigned(x):
+    return x & (1 << 64) - 1
+
+
+def test_fingerprints():
+    texts = [t for _, t, *_ in edge_rows()] + [t for _, t, _ in given_docs()]
+    for text in texts:
+        assert unsigned(simhash.fingerprint(text or "")) == slow_fingerprint(text)
+
+
+def test_given_documents_and_edges(spark):
+    for docs, rows in (
+        (edge(spark), [r[:2] for r in edge_rows()]),
+        (spark.createDataFrame([r[:2] for r in given_docs()], "doc_id long, text string"), [r[:2] for r in given_docs()]),
+    ):
+        prints = [slow_fingerprint(t) for _, t in rows]
+        labels = slow_components(prints, close)
+        want = []
+        for (doc_id, _), fp, label in zip(rows, prints, labels, strict=True):
+            ids = [i for (i, _), other in zip(rows, labels, strict=True) if other == label and i is not None]
+            want.append((doc_id, f"{fp:016x}", min(ids, default=None)))
+        found = [tuple(r) for r in simhash.near_groups(docs).collect()]
+        assert sorted(found, key=str) == sorted(want, key=str)
+    assert simhash.near_groups(nothing(spark)).count() == 0
+
+
+def clustered(n, seed):
+    """Points of which many lie within a few bits of each other, in chains and crowds."""
+    chance = random.Random(seed)
+    points = [chance.getrandbits(64) for _ in range(n // 4)]
+    while len(points) < n:
+        p = chance.choice(points)
+        for _ in range(chance.randint(1, 5)):
+            p ^= 1 << chance.randrange(64)
+        points.append(p)
+    return sorted(set(points))
+
+
+@pytest.mark.parametrize(
+    ("forest", "cell"),
+    [
+        (simhash.Forest(4, 1), 4096),
+        (simhash.Forest(5, 2, 0, 10), 4096),
+        (simhash.Forest(6, 3, 0, 12), 4096),
+        (simhash.Forest(2, 1, 1, 4), 4096),  # balls of one bit: shards overlap
+        (simhash.Forest(1, 1, 3, 3), 4096),  # one tree over all bits
+        (simhash.Forest(4, 1, 0, 1), 100),  # large shards, cut into cells
+    ],
+)
+def test_every_forest_finds_all_links(spark, forest, cell):
+    points = clustered(900, forest.blocks)
+    signed = np.array(points, np.uint64).view(np.int64).tolist()
+    frame = spark.createDataFrame([(p,) for p in signed], "fp long")
+    roots = {unsigned(r.node): unsigned(r.root) for r in components(simhash.links(frame, forest, cell)).collect()}
+    labels = slow_components(points, close)
+    groups = {}
+    for p, label in zip(points, labels, strict=True):
+        groups.setdefault(label, set()).add(p)
+    mine = {}
+    for p in points:
+        mine.setdefault(roots.get(p, p), set()).add(p)
+    assert sorted(map(sorted, mine.values())) == sorted(map(sorted, groups.values()))
+
+
+def test_forests_that_could_miss_a_pair_are_refused():
+    for blocks, chosen, ball in ((3, 1, 0), (2, 1, 0), (1, 1, 2), (4, 2, 0)):
+        with pytest.raises(AssertionError):
+            simhash.Forest(blocks, chosen, ball)
+    for n in (1, 10**6, 10**8, 10**12):
+        simhash.Forest.for_points(n)
+
+
+def test_tree_inside_a_shard_prunes_and_finds_the_same_pairs():
+    points = np.array(clustered(1500, 3), np.uint64)
+    home = np.arange(len(points)) % 5 > 0
+    found = set()
+    for a, b in simhash.close_pairs(points, home, 3):
+        found |= {(min(x, y), max(x, y)) for x, y in zip(a.tolist(), b.tolist(), strict=True)}
+    near = np.bitwise_count(points[:, None] ^ points) <= 3
+    want = {(i, j) for i, j in zip(*np.nonzero(near), strict=True) if i < j and (home[i] or home[j])}
+    assert found == want
+
+
+def test_components_of_paths_stars_and_rings(spark):
+    links = [(i, i + 1) for i in range(200)]
+    links += [(1000, 1000 + i) for i in range(1, 300)]
+    links += [(2000 + i, 2000 + (i + 1) % 50) for i in range(50)] + [(5, 5), (1001, 1000)]
+    found = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == {**dict.fromkeys(range(201), 0), **dict.fromkeys(range(1000, 1300), 1000), **dict.fromkeys(range(2000, 2050), 2000)}
+
+
+def test_one_document_of_each_group_stays(spark):
+    kept = simhash.drop_near_copies(edge(spark))
+    assert kept.columns == edge(spark).columns
+    groups = {r.component_id for r in simhash.near_groups(edge(spark)).collect()}
+    assert {r.doc_id for r in kept.collect()} == groups

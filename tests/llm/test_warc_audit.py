@@ -1,0 +1,52 @@
+from __future__ import annotations
+
+import pytest
+from llm.corpus import with_clashes
+from pyspark.sql import functions as F
+
+from salesloom.llm import warc_audit as warc
+
+
+def leaves(spark, n, archives=3):
+    rows = [(a, p, p * 100, 100, f"{a}-{p}") for a in range(archives) for p in range(n)]
+    return spark.createDataFrame(rows, "archive long, place long, offset long, length long, sha256 string")
+
+
+@pytest.mark.parametrize("fan_out", [2, 16])
+def test_damage_is_located(spark, fan_out):
+    index = leaves(spark, 300)
+    replica = (
+        index.where("NOT (archive = 1 AND place IN (7, 299))")
+        .withColumn("sha256", F.expr("if(archive = 0 AND place IN (0, 16, 17, 255), 'rot', sha256)"))
+        .unionByName(spark.createDataFrame([(2, 300, 30000, 5, "new"), (9, 0, 0, 5, "new")], index.schema))
+    )
+    found = {(r.archive, r.place): r.status for r in warc.audit(index, replica, fan_out).collect()}
+    assert found == {
+        **{(0, p): "changed" for p in (0, 16, 17, 255)}, (1, 7): "lost", (1, 299): "lost", (2, 300): "extra", (9, 0): "extra",
+    }
+
+
+def test_tree_has_one_root_and_covers_the_offsets(spark):
+    nodes = warc.tree(leaves(spark, 300, 1), 16).groupBy("level").agg(
+        F.count("*").alias("n"), F.min("start").alias("start"), F.max("stop").alias("stop")
+    )
+    found = {r.level: (r.n, r.start, r.stop) for r in nodes.collect()}
+    assert found == {0: (300, 0, 30000), 1: (19, 0, 30000), 2: (2, 0, 30000), 3: (1, 0, 30000)}
+
+
+def test_agreement_and_empty_sides(spark):
+    index = leaves(spark, 20)
+    assert warc.audit(index, index).count() == 0
+    assert warc.audit(index.limit(0), index.limit(0)).count() == 0
+    assert {r.status for r in warc.audit(index, index.limit(0)).collect()} == {"lost"}
+
+
+def test_records_of_awkward_pages(spark):
+    rows = [(1, "u", "<p>é"), (1, "u", "<p>é"), (1, None, None), (None, None, None), (2500, "u", "x" * 100_000), (-1, "u", "")]
+    pages = with_clashes(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    found = warc.records(pages).orderBy("archive", "place").collect()
+    assert [(r.archive, r.place) for r in found] == [(None, 0), (-1, 0), (0, 0), (0, 1), (0, 2), (2, 0)]
+    assert found[3].offset == found[2].offset + found[2].length
+    damaged = warc.records(pages, damage=F.when(F.col("page_id") == 2500, "changed").when(F.col("page_id") == -1, "lost"))
+    rows = {(r.archive, r.status, r.offset) for r in warc.audit(warc.records(pages), damaged).collect()}
+    assert rows == {(2, "changed", 0), (-1, "lost", 0)}
