@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -44,10 +45,10 @@ def repeated_words(words: list[bytes]) -> int:
     n = len(words)
     if n < 4:
         return 0
-    seen: dict[bytes, int] = {}
-    ids = np.fromiter((seen.setdefault(w, len(seen)) for w in words), np.int64, n)
+    seen = dict(zip(dict.fromkeys(words), count(), strict=False))
     if len(seen) == n:
         return 0
+    ids = np.fromiter(map(seen.__getitem__, words), np.int64, n)
     pairs = np.unique(ids[:-1] * len(seen) + ids[1:], return_inverse=True)[1]
     windows = pairs[:-1] * len(seen) + ids[2:]
     _, at, counts = np.unique(windows, return_inverse=True, return_counts=True)

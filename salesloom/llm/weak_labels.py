@@ -17,6 +17,8 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -46,7 +48,8 @@ _SHAPE = bytes(
 )
 
 
-_WORD = re.compile(rb"[A-Za-z\x80-\xff]+[.,;:?]?")
+#: Whole words of letters, with one closing mark at most.
+_CLEAN_WORD = re.compile(rb"(?<![^\x20\x09-\x0D])[A-Za-z\x80-\xff]+[.,;:?]?(?![^\x20\x09-\x0D])")
 
 
 def votes(text: str) -> str:
@@ -54,11 +57,12 @@ def votes(text: str) -> str:
     n_words, _, n_symbols, n_lines, n_dup_lines, n_repeat = measure(text)
     if not n_words:
         return "".join(str(JUNK if name == "words" else SILENT) for name in LABELLERS)
-    words = text.encode().split()
-    distinct = len(set(words))
-    clean = sum(map(bool, map(_WORD.fullmatch, words)))
-    capitals = sum(map(str.isupper, text))
-    letters = capitals + sum(map(str.islower, text))
+    data = text.encode()
+    distinct = len(set(data.split()))
+    clean = len(_CLEAN_WORD.findall(data))
+    counts = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
+    capitals = int(counts[65:91].sum())
+    letters = capitals + int(counts[97:123].sum())
     ends = sum(map(text.count, (". ", ".\n", ", "))) + text.endswith(".")
 
     def high(value: float, junk: float, of: float = n_words) -> int:
@@ -136,28 +140,30 @@ class LabelModel:
         return model
 
 
+@lru_cache(100_000)
+def _buckets(shape: bytes) -> tuple[int, ...]:
+    """What a word of this shape looks like: its ends and its length."""
+    names = (b"ends " + shape[-3:], b"starts " + shape[:2], b"long %d" % min(len(shape) // 4, 6))
+    return tuple(zlib.crc32(name) % BUCKETS for name in names)
+
+
 def features(text: str) -> dict[int, float]:
-    """Hashed shares of word shapes, symbols and repeats; the length of all is at most 1."""
-    words = text.encode().split()
+    """Hashed shares of word shapes, symbols and repeats: the root of each share, so at most 1."""
+    data = text.encode()
+    words = data.split()
     n = len(words)
-    named: Counter[bytes] = Counter()
-    shapes: Counter[bytes] = Counter(words)
-    for word, times in shapes.items():
-        shape = word.translate(_SHAPE)
-        named[b"ends " + shape[-3:]] += times
-        named[b"starts " + shape[:2]] += times
-        named[b"long %d" % min(len(word) // 4, 6)] += times
-        if times > 1:
-            named[b"again"] += times - 1
-    named[b"same as before"] += sum(a == b for a, b in zip(words, words[1:], strict=False))
-    for symbol in SYMBOLS + "!\t":
-        named[b"symbol " + symbol.encode()] += text.count(symbol)
-    found: dict[int, float] = {zlib.crc32(b"bias") % BUCKETS: 1.0}
+    times: Counter[int] = Counter()
+    for shape, count in Counter(data.translate(_SHAPE).split()).items():
+        for at in _buckets(shape):
+            times[at] += count
+    named = {b"again": n - len(set(words)), b"same as before": sum(map(eq, words, words[1:]))}
+    named |= {b"symbol " + c.encode(): text.count(c) for c in SYMBOLS + "!\t"}
+    for name, count in named.items():
+        if count:
+            times[zlib.crc32(name) % BUCKETS] += count
+    found = {at: (count / n) ** 0.5 if n else 0.0 for at, count in times.items()}
+    found[zlib.crc32(b"bias") % BUCKETS] = 1.0
     found[zlib.crc32(b"size %d" % n.bit_length()) % BUCKETS] = 1.0
-    for name, times in named.items():
-        if times:
-            at = zlib.crc32(name) % BUCKETS
-            found[at] = found.get(at, 0.0) + (times / n if n else 0.0) ** 0.5
     return found
 
 
@@ -178,11 +184,12 @@ def fit(rows: list[tuple[list[int], list[float]]], soft: np.ndarray, epochs: int
 def sample(docs: DataFrame, limit: int = SAMPLE) -> list[tuple[list[int], list[float], str]]:
     """Features and votes of at most ``limit`` documents, those least by a hash of the id.
 
-    The ids are chosen first, so only their texts are measured.
+    The ids are chosen first, so only their texts are measured; a repeated id has one text.
     """
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     ids = docs.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(*order).limit(limit)
     chosen = docs.join(F.broadcast(ids.withColumnRenamed("doc_id", "_id")), F.col("doc_id") == F.col("_id"))
+    chosen = chosen.groupBy("doc_id").agg(F.min("text").alias("text"))
 
     @F.pandas_udf("at array<int>, value array<double>")
     def cut(texts: pd.Series) -> pd.DataFrame:
@@ -190,7 +197,7 @@ def sample(docs: DataFrame, limit: int = SAMPLE) -> list[tuple[list[int], list[f
         return pd.DataFrame({"at": [list(f) for f in found], "value": [list(f.values()) for f in found]})
 
     rows = chosen.select("doc_id", cut("text").alias("f"), _votes("text").alias("votes"))
-    rows = rows.where(F.size("f.at") <= SAMPLE_FEATURES).orderBy(*order, "votes").limit(limit)
+    rows = rows.where(F.size("f.at") <= SAMPLE_FEATURES).orderBy(*order)
     return [(r.f["at"], r.f["value"], r.votes) for r in rows.collect()]
 
 
@@ -198,7 +205,7 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limi
     """``doc_id``, ``votes``, ``label`` (posterior of good), ``score`` and ``kept``, one row per row.
 
     ``score`` is the scorer's probability that the document is good, ``kept``
-    that it is 0.5 or more. Null and empty texts are voted junk by their length.
+    that it is 0.5 or more. Null and empty texts are voted junk by the labeller of words.
     Where classes tie a document is kept. Repeated rows count in the estimate
     and are scored alike. An empty table gives no rows. Other columns are not read.
     """
