@@ -314,7 +314,34 @@ def near_groups(
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The document with the smallest id of every group, with all its columns."""
-    groups = near_groups(docs, id_col, text_col).where("NOT (doc_id <=> component_id)")
-    gone = groups.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
+    """One row of every group of near copies, with all its columns.
+
+    The row with the smallest id stays, of several texts under that id the one
+    with the smallest SHA-256; null ids come last. Rows are told apart by id and
+    text, so a null or repeated id takes no other text with it. Of rows that
+    repeat both, one stays, whichever Spark meets first. Null text is empty text.
+    """
+    digest = F.unhex(F.sha2(F.coalesce(docs[text_col], F.lit("")), 256))
+    text = F.coalesce(docs[text_col], F.lit(""))
+    prints = docs.select(docs[id_col].alias("doc_id"), digest.alias("digest"), _fingerprints(text).alias("fp"))
+    prints = stored(prints, "row-fingerprints")
+    points = stored(prints.select("fp").distinct(), "points")
+    roots = components(links(points, Forest.for_points(points.count())))
+    rooted = join_salted(prints, roots.select(F.col("node").alias("fp"), "root"), "fp", "digest")
+    texts = rooted.groupBy("doc_id", "digest", F.coalesce("root", "fp").alias("root")).agg(F.count("*").alias("n"))
+    row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")
+    shared = texts.groupBy("root").agg(F.min(row).alias("first"), F.sum("n").alias("rows")).where("rows > 1")
+    judged = join_salted(texts, shared.select("root", "first"), "root", "digest", "inner")
+    judged = judged.select("doc_id", "digest", "n", (row == F.col("first")).alias("stays"))
+    judged = stored(judged.where("NOT stays OR n > 1"), "near-copies")
+
+    def same(verdicts):
+        return docs[id_col].eqNullSafe(verdicts["doc_id"]) & (digest == verdicts["digest"])
+
+    single = docs.join(judged, same(judged), "left_anti")
+    repeated = judged.where("stays")
+    whole = F.struct(*[docs[c] for c in docs.columns]).alias("doc")
+    rows = docs.join(repeated, same(repeated), "left_semi")
+    one_of_each = rows.select(whole, docs[id_col].alias("doc_id"), digest.alias("digest"))
+    one_of_each = one_of_each.dropDuplicates(["doc_id", "digest"])
+    return single.unionByName(one_of_each.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns]))

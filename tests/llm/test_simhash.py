@@ -110,3 +110,22 @@ def test_one_document_of_each_group_stays(spark):
     assert kept.columns == edge(spark).columns
     groups = {r.component_id for r in simhash.near_groups(edge(spark)).collect()}
     assert {r.doc_id for r in kept.collect()} == groups
+
+
+def test_rows_are_dropped_by_text_and_not_by_id_alone(spark):
+    first = " ".join(f"a{i}" for i in range(400))
+    near = first + " end"
+    other, third = (" ".join(f"{c}{i}" for i in range(300)) for c in "bc")
+    assert close(slow_fingerprint(first), slow_fingerprint(near))
+    rows = [
+        (1, first), (None, near), (None, other),  # a null id on a copy and on a text of its own
+        (7, near), (7, third),  # one id on a copy and on another text
+        (None, None), (None, ""), (None, " "),  # copies without any id
+        (9, "two rows"), (9, "two rows"), (None, "two rows"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in simhash.drop_near_copies(docs).collect()]
+    empty = [r for r in kept if not (r[1] or "").strip()]
+    assert len(empty) == 1
+    want = [(1, first), (None, other), (7, third), (9, "two rows")]
+    assert sorted((r for r in kept if r not in empty), key=str) == sorted(want, key=str)
