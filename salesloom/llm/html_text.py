@@ -26,7 +26,8 @@ THRESHOLD = 0.3  # of the mean score
 SPREAD = 1.0  # steps in the tree over which scores are smoothed
 BORDER = 3  # steps that the edge of an article counts more
 INSIDE = 0.5  # what a step within one article counts
-SMOOTHED_BY = 200  # paths with the most text that others are smoothed by
+#: Steps in one article beyond which a weight is exactly 0.0 in doubles, as exp(-39 ** 2 / 2) is.
+FARTHEST = math.ceil(39 * SPREAD / INSIDE)
 
 # Elements and marks of the HTML standard and common names of page parts.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -186,6 +187,54 @@ def blocks(html: str) -> tuple[Paths, list[tuple[int, str, int]]]:
     return paths, found
 
 
+def smoothed(paths: Paths, chars: dict[int, int], scores: dict[int, float]) -> dict[int, float]:
+    """The mean of all scores for every path, weighted by text and by nearness in the tree.
+
+    Text and score times text are summed up per ancestor and depth below it. The
+    paths that part from one at an ancestor are those below the ancestor without
+    those below its child on the way, so that no pairs of paths are compared.
+    """
+    everyone: dict[int, dict[int, list]] = {}
+    fellows: dict[int, dict[int, list]] = {}  # only paths with the article of the ancestor
+    for path, n in chars.items():
+        above, depth = path, 0
+        while above >= 0 and depth <= FARTHEST:
+            for sums in (everyone, fellows) if paths.article[above] == paths.article[path] else (everyone,):
+                entry = sums.setdefault(above, {}).setdefault(depth, [0, 0.0])
+                entry[0] += n
+                entry[1] += n * scores[path]
+            above, depth = paths.parent[above], depth + 1
+
+    def weight(steps: float) -> float:
+        return math.exp(-((steps / SPREAD) ** 2) / 2)
+
+    inside, outside, border = (
+        [weight(more + step * k) for k in range(2 * FARTHEST + 1)] for more, step in ((0, INSIDE), (0, 1), (BORDER, 1))
+    )
+    out = {}
+    for path in chars:
+        # what is counted here: fellows by their own weight, others by the weight across the border
+        text = total = 0.0
+        near = inside if paths.article[path] else outside
+        above, child, up = path, -1, 0
+        while above >= 0 and up <= FARTHEST:
+            same = paths.article[above] == paths.article[path]
+            for depth, (n, scored) in everyone[above].items():
+                mine, mine_scored = fellows.get(above, {}).get(depth, (0, 0.0)) if same else (0, 0.0)
+                if child >= 0:
+                    m, m_scored = everyone[child].get(depth - 1, (0, 0.0))
+                    n, scored = n - m, scored - m_scored
+                    if same:
+                        m, m_scored = fellows.get(child, {}).get(depth - 1, (0, 0.0))
+                        mine, mine_scored = mine - m, mine_scored - m_scored
+                k = up + depth
+                text += mine * near[k] + (n - mine) * border[k]
+                total += mine_scored * near[k] + (scored - mine_scored) * border[k]
+            above, child, up = paths.parent[above], above, up + 1
+        out[path] = total / text
+    return out
+
+
 def content_paths(paths: Paths, found: list[tuple[int, str, int]], threshold: float = THRESHOLD) -> set[int]:
     """The paths whose fused and smoothed ratios are above the threshold."""
     sums: dict[int, list[int]] = {}
@@ -198,12 +247,8 @@ def content_paths(paths: Paths, found: list[tuple[int, str, int]], threshold: fl
     for path, (n, chars, marks, linked) in sums.items():
         free = 1 - linked / chars
         scores[path] = math.sqrt(chars / n) * (1 + min(marks / n, 10.0)) * free * free
-    heavy = sorted(sums, key=lambda p: (-sums[p][1], p))[:SMOOTHED_BY]
-    smooth = {}
+    smooth = smoothed(paths, {p: entry[1] for p, entry in sums.items()}, scores)
     for path in sums:
-        near = {*heavy, path}
-        weights = {q: sums[q][1] * math.exp(-((paths.distance(path, q) / SPREAD) ** 2) / 2) for q in near}
-        smooth[path] = sum(w * scores[q] for q, w in weights.items()) / sum(weights.values())
         if sums[path][3] * 2 > sums[path][1]:
             smooth[path] = min(smooth[path], scores[path])  # lists of links are not carried by others
     total = sum(entry[1] for entry in sums.values())

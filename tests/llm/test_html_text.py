@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+import random
 import re
 from html import unescape
 
@@ -8,7 +10,7 @@ import pytest
 from llm.corpus import with_clashes
 from pyspark.sql import functions as F
 
-from salesloom.llm.html_text import blocks, content_paths, extracted, main_text
+from salesloom.llm.html_text import blocks, content_paths, extracted, main_text, smoothed
 
 PROSE = "The harbour was quiet, and the boats lay still. Nobody spoke; the lamps were out. "
 
@@ -84,3 +86,34 @@ def test_edges(spark):
     found = sorted((r.page_id or 0, r.text, r.n_chars) for r in extracted(pages.withColumn("n_chars", F.lit(0))).collect())
     assert found == [(0, WANTED, len(WANTED)), (1, "", 0), (2, "", 0), *[(3, WANTED, len(WANTED))] * 2]
     assert extracted(pages.limit(0)).count() == 0
+
+
+def test_smoothing_counts_all_pairs_of_paths():
+    for seed in range(8):
+        chance = random.Random(seed)
+        html, open_ = "", []
+        for i in range(600):
+            if open_ and chance.random() < 0.45:
+                html += f"</{open_.pop()}>"
+            else:
+                open_.append(chance.choice(["div", "section", "ul", "article"] if i % 9 == 0 else ["div", "section", "ul"]))
+                html += f"<{open_[-1]} data-n={i} class=x{chr(97 + i % 26) * (1 + i // 26)}>" + "text, " * chance.randrange(4)
+        paths, found = blocks(html)
+        chars = {}
+        for path, text, _ in found:
+            chars[path] = chars.get(path, 0) + len(text)
+        scores = {p: chance.random() * 9 for p in chars}
+        assert len(chars) > 200
+        for p, value in smoothed(paths, chars, scores).items():
+            weights = {q: n * math.exp(-(paths.distance(p, q) ** 2) / 2) for q, n in chars.items()}
+            want = sum(w * scores[q] for q, w in weights.items()) / sum(weights.values())
+            assert value == pytest.approx(want, rel=1e-9)
+
+
+def test_headings_of_a_long_page_stay():
+    def glossary(n):
+        names = [chr(97 + i % 26) * (1 + i // 26) for i in range(n)]
+        return page("<div>", *[f"<div class={x}q><div><h2>x</h2><p>{PROSE * (1 + i % 3)}</p></div></div>" for i, x in enumerate(names)], "</div>")
+
+    for n in (20, 600):
+        assert main_text(glossary(n)).split("\n").count("x") == n
