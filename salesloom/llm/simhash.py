@@ -51,33 +51,39 @@ _PLACES = np.arange(8) * 256
 _POWERS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
 
-def fingerprint(text: str) -> int:
-    """SimHash of the text's 3-word shingles, repeats included, as a signed 64-bit integer."""
+def fingerprint(text: str, shingle: int = SHINGLE) -> int:
+    """SimHash of the text's shingles of 3 words, repeats included, as a signed 64-bit integer."""
     words = text.encode().lower().split()  # bytes: A-Z only, and \x20, \x09-\x0D only
     n = len(words)
     if not n:
         return 0
     body = b" ".join(words)
-    if n <= SHINGLE:
+    if n <= shingle:
         return int(np.uint64(xxhash.xxh64_intdigest(body, SEED)).astype(np.int64))
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter(
-        (digest(body[s:e], SEED) for s, e in zip(starts[: n - 2].tolist(), ends[2:].tolist(), strict=True)),
+        (
+            digest(body[s:e], SEED)
+            for s, e in zip(starts[: n - shingle + 1].tolist(), ends[shingle - 1 :].tolist(), strict=True)
+        ),
         np.uint64,
-        n - 2,
+        n - shingle + 1,
     )
     places = hashes.view(np.uint8).reshape(-1, 8) + _PLACES
     counts = np.bincount(places.ravel(), minlength=2048).reshape(8, 256) @ _BITS
-    bits = 2 * counts.ravel() > n - 2
+    bits = 2 * counts.ravel() > n - shingle + 1
     return int(_POWERS[bits].sum(dtype=np.uint64).astype(np.int64))
 
 
-@F.pandas_udf(LongType())
-def _fingerprints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for texts in batches:
-        yield pd.Series([fingerprint(t) for t in texts], dtype="int64")
+def _fingerprints(text, shingle: int = SHINGLE):
+    @F.pandas_udf(LongType())
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
+
+    return run(text)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -313,9 +319,14 @@ def near_groups(
     )
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS
+) -> DataFrame:
     """One row of every group of near copies, with all its columns.
 
+    Copies are texts whose fingerprints over ``shingle`` words are linked by
+    steps of at most ``radius`` bits; the texts themselves are not compared.
+
     The row with the smallest id stays, of several texts under that id the one
     with the smallest SHA-256; null ids come last. Rows are told apart by id and
     text, so a null or repeated id takes no other text with it. Of rows that
@@ -323,10 +334,10 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     digest = F.unhex(F.sha2(F.coalesce(docs[text_col], F.lit("")), 256))
     text = F.coalesce(docs[text_col], F.lit(""))
-    prints = docs.select(docs[id_col].alias("doc_id"), digest.alias("digest"), _fingerprints(text).alias("fp"))
+    prints = docs.select(docs[id_col].alias("doc_id"), digest.alias("digest"), _fingerprints(text, shingle).alias("fp"))
     prints = stored(prints, "row-fingerprints")
     points = stored(prints.select("fp").distinct(), "points")
-    roots = components(links(points, Forest.for_points(points.count())))
+    roots = components(links(points, Forest.for_points(points.count(), radius)))
     rooted = join_salted(prints, roots.select(F.col("node").alias("fp"), "root"), "fp", "digest")
     texts = rooted.groupBy("doc_id", "digest", F.coalesce("root", "fp").alias("root")).agg(F.count("*").alias("n"))
     row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")

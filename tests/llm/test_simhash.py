@@ -129,3 +129,16 @@ def test_rows_are_dropped_by_text_and_not_by_id_alone(spark):
     assert len(empty) == 1
     want = [(1, first), (None, other), (7, third), (9, "two rows")]
     assert sorted((r for r in kept if r not in empty), key=str) == sorted(want, key=str)
+
+
+def test_a_stage_may_have_its_own_shingle_and_radius(spark):
+    words = [f"a{i}" for i in range(300)]
+    near = " ".join(words[:140] + ["new"] * 6 + words[140:])
+    rows = [(1, " ".join(words)), (2, near), (3, " ".join(f"b{i}" for i in range(300)))]
+    prints = [unsigned(simhash.fingerprint(t, 5)) for _, t in rows]
+    apart = bin(prints[0] ^ prints[1]).count("1")
+    assert 3 < apart <= 10 and bin(prints[0] ^ prints[2]).count("1") > 10
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in simhash.drop_near_copies(docs, shingle=5, radius=10).collect()}
+    assert kept == {1, 3}
+    assert {r.doc_id for r in simhash.drop_near_copies(docs, shingle=5).collect()} == {1, 2, 3}
