@@ -31,13 +31,16 @@ FARTHEST = math.ceil(39 * SPREAD / INSIDE)
 
 # Elements and marks of the HTML standard and common names of page parts.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title noscript template iframe xmp noembed noframes svg math select".split())
+RAW = set("script style textarea title noscript template iframe noembed noframes svg select annotation".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp"
-    " small span strike strong sub sup time tt u var wbr".split()
+    " small span strike strong sub sup time tt u var wbr"
+    " math semantics mrow mi mn mo mtext ms mspace mfrac msqrt mroot msub msup msubsup munder mover munderover"
+    " mtable mtr mtd mfenced mpadded mstyle menclose mmultiscripts mprescripts none".split()
 )
-NOT_TEXT = set("nav footer aside header form button menu dialog fieldset head figcaption".split())
+NOT_TEXT = set("nav footer aside header form button menu dialog fieldset head".split())
 ARTICLE = set("article main".split())
+NEVER_MARKED = {"html", "body", *ARTICLE}
 MARKS = set(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent"
     " cookie cookies copyright disclaimer disqus footer gdpr header login masthead menu modal nav navbar"
@@ -64,9 +67,18 @@ TAG = re.compile(
     r"|<[!?/][^>]*+(?:>|\Z)",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]++))?+", re.I)
+#: One attribute: its name and then its value, so that no value is taken for a name.
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]++)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]++))?+|[\"'/=]")
+SVG_TEXT = re.compile(r"<text\b[^>]*+>(.*?)</text\b", re.I | re.DOTALL)
 HIDDEN = re.compile(r"display\s*+:\s*+none|visibility\s*+:\s*+hidden", re.I)
 NAME_PARTS = re.compile(r"[A-Za-z]+")
+LAYOUT = set("no not non with without has have".split())  # what these start tells of an element's neighbours
+
+
+def marked(token: str) -> bool:
+    """Whether one class or id says what its element is: as a whole or by its last part."""
+    parts = [p.lower() for p in NAME_PARTS.findall(token)]
+    return bool(parts) and parts[-1] in MARKS and parts[0] not in LAYOUT
 
 
 class Paths:
@@ -84,14 +96,13 @@ class Paths:
             for key, value in ATTRIBUTE.findall(attributes):
                 key, value = key.lower(), value.strip("\"'")
                 if key in ("class", "id"):
-                    parts = [p.lower() for p in NAME_PARTS.findall(value)]
-                    names += parts
-                    dropped |= bool(parts) and tag not in ("html", "body") and not MARKS.isdisjoint(parts)
+                    names += [p.lower() for p in NAME_PARTS.findall(value)]
+                    dropped |= tag not in NEVER_MARKED and any(map(marked, value.split()))
                 elif key == "role":
                     dropped |= value.lower() in ROLES
                 elif key == "style":
                     dropped |= bool(HIDDEN.search(value))
-                else:
+                elif key == "hidden" or key == "aria-hidden":
                     dropped |= key == "hidden" or value.lower() == "true"
         dropped |= tag in NOT_TEXT
         step = (path, " ".join([tag, *names, "-" if dropped else ""]))
@@ -157,9 +168,19 @@ def blocks(html: str) -> tuple[Paths, list[tuple[int, str, int]]]:
         if not closing and name in RAW and not attributes.endswith("/"):
             close = re.compile(rf"</{name}\b[^>]*+(?:>|\Z)", re.I).search(html, at)
             at = close.end() if close else end
-            if name != "title" and name not in ("svg", "math"):
+            if name == "svg":
+                for label in SVG_TEXT.findall(html, tag.end(), at):
+                    pieces.append(f" {unescape(re.sub('<[^>]*+>', '', label))} ")
+            elif name != "title":
                 pieces.append(" ")
             continue
+        if name == "xmp" and not closing:
+            flush()  # shown as it is, tags and references too
+            close = re.compile(r"</xmp\b", re.I).search(html, at)
+            pieces.append(html[at : close.start() if close else end])
+            at = close.start() if close else end
+            flush()
+            continue
         if name == "a":
             links = max(0, links + (-1 if closing else 1))
             continue

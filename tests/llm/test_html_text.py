@@ -117,3 +117,27 @@ def test_headings_of_a_long_page_stay():
 
     for n in (20, 600):
         assert main_text(glossary(n)).split("\n").count("x") == n
+
+
+@pytest.mark.parametrize(
+    "start",
+    [
+        "article aria-label='Hidden costs of war'", "p title='the hidden cost'", "div data-hidden=false",
+        "section data-id=share-7", "div class='content no-sidebar'", "main class=with-sidebar",
+        "div id=search-result", "article class='post notice-board tags'", "div aria-hidden=false", "figure title=role=menu",
+    ],
+)
+def test_attributes_that_do_not_mark_an_element(start):
+    assert main_text(page(f"<{start}>{PROSE * 3}</{start.split()[0]}>")) == (PROSE * 3).strip()
+
+
+def test_captions_formulas_and_raw_text_that_is_shown():
+    article = f"<article><p>{PROSE * 3}</p><figure><figcaption>{PROSE}</figcaption></figure>{{}}</article>"
+    start = f"{(PROSE * 3).strip()}\n{PROSE.strip()}\n"
+    for part, text in (
+        ("<p>So <math><mi>a</mi><mo>=</mo><mn>2</mn></math>, then.</p>", "So a=2, then."),
+        ("<xmp>One <b>two</b>, &amp; three.</xmp>", "One <b>two</b>, &amp; three."),
+        ("<p>See <svg><style>a, b.</style><text x=1>one <tspan>label</tspan></text></svg>, then.</p>", "See one label , then."),
+    ):
+        assert main_text(page(article.format(part))) == start + text
+    assert main_text(page(f"<article class=post hidden>{PROSE}</article>", f"<p>{PROSE}</p>")) == PROSE.strip()
