@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from salesloom.llm import (
     bpe,
+    byte_bpe,
     exact_dedup,
     html_text,
+    importance,
     mixing,
     pii,
     quality_rules,
     simhash,
+    spelling,
     toxicity,
     warc_audit,
     weak_labels,
@@ -96,3 +99,23 @@ def weak_label_quality(spark, folder):
 @query("op10_digest_runs", exact_dedup.SQL)
 def digest_runs(spark, folder):
     return exact_dedup.exact_groups(corpus_table(spark, folder, "documents"))
+
+
+@query("op11_byte_bpe")
+def byte_bpe_tokens(spark, folder):
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_bpe.digests(corpus_table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query("op12_importance_lines")
+def importance_lines(spark, folder):
+    return importance.resampled(
+        corpus_table(spark, folder, "documents"), corpus_table(spark, folder, "benchmark")
+    )
+
+
+@query("op13_spelling_variants")
+def spelling_variants(spark, folder):
+    return spelling.variants(corpus_table(spark, folder, "documents"))
