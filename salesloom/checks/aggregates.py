@@ -7,12 +7,17 @@ from pyspark.sql import functions as F
 
 from salesloom.checks.registry import check, completed
 from salesloom.functions.amounts import (
+    MONEY,
+    RATE,
+    UNITS,
+    Wide,
     cents,
     from_cents,
     growth_percent,
     guarded_change,
     money_sum,
     percent,
+    units,
     zero_if_null,
 )
 from salesloom.functions.dates import date_of, month_label
@@ -151,6 +156,47 @@ def ratio_percent(t):
     )
 
 
+@check(
+    "f05_amounts_near_the_limit",
+    """
+SELECT l_returnflag, count(*) AS n_lines,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,4)) + CAST(99999999800000 AS DECIMAL(18,4))
+                + l_linenumber * CAST(0.0001 AS DECIMAL(9,4))) AS VARCHAR) AS total
+FROM lineitem GROUP BY l_returnflag
+""",
+)
+def amounts_near_the_limit(t):
+    """Sums of amounts that no double tells apart, as staged, far beyond a bigint."""
+    price = F.col("l_extendedprice").cast(MONEY) + F.lit("99999999800000").cast(MONEY)
+    price = (price + F.col("l_linenumber") * F.lit("0.0001").cast(RATE)).cast(MONEY)
+    lines = t["lineitem"].select("l_returnflag", "l_partkey", price.alias("price"))
+    per_part = lines.groupBy("l_returnflag", "l_partkey").agg(
+        F.count("*").alias("n_lines"), *Wide.of(units("price")).sum().columns("total")
+    )
+    total = Wide.named("total").sum().whole().cast("decimal(33,0)") * F.lit("0.0001").cast("decimal(4,4)")
+    return per_part.groupBy("l_returnflag").agg(
+        F.sum("n_lines").alias("n_lines"), total.cast("decimal(38,4)").cast("string").alias("total")
+    )
+
+
+@check(
+    "f05_parts_of_a_cent",
+    """
+SELECT l_returnflag,
+       CAST(sum((CAST(l_extendedprice AS DECIMAL(18,4)) + CAST(0.0075 AS DECIMAL(9,4)))
+                * (1 - CAST(l_discount AS DECIMAL(9,4)) - CAST(0.0025 AS DECIMAL(9,4)))) AS VARCHAR) AS discounted
+FROM lineitem GROUP BY l_returnflag
+""",
+)
+def parts_of_a_cent(t):
+    """Amounts and rates with four decimals, multiplied and added up without rounding."""
+    price = (F.col("l_extendedprice").cast(MONEY) + F.lit("0.0075").cast(RATE)).cast(MONEY)
+    rate = (F.col("l_discount").cast(RATE) + F.lit("0.0025").cast(RATE)).cast(RATE)
+    total = Wide.of(units(price)).times(UNITS - units(rate)).sum().whole().cast("decimal(29,0)")
+    total = (total * F.lit("0.00000001").cast("decimal(8,8)")).cast("decimal(38,8)").cast("string")
+    return t["lineitem"].groupBy("l_returnflag").agg(total.alias("discounted"))
+
+
 @check(
     "a11_percent_change_guarded",
     """

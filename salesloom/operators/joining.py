@@ -12,15 +12,19 @@ from pyspark.sql import functions as F
 SMALL_BYTES = 10 << 20
 
 
-def broadcast_if_small(frame: DataFrame, max_bytes: int = SMALL_BYTES) -> DataFrame:
-    """Mark a side for broadcast only if Spark knows it to be small.
+def is_small(frame: DataFrame, max_bytes: int = SMALL_BYTES) -> bool:
+    """Whether Spark knows a frame to be small enough for a broadcast.
 
     The size is the one Spark plans with, from the sizes of files; no job is
-    run for it. Joins are taken at the product of their sides. A larger side is
-    returned unmarked and Spark decides.
+    run for it. Joins are taken at the product of their sides.
     """
     size = frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return F.broadcast(frame) if int(size) <= max_bytes else frame
+    return int(size) <= max_bytes
+
+
+def broadcast_if_small(frame: DataFrame, max_bytes: int = SMALL_BYTES) -> DataFrame:
+    """Mark a side for broadcast only if it ``is_small``; else Spark decides."""
+    return F.broadcast(frame) if is_small(frame, max_bytes) else frame
 
 
 def same_keys(left: Sequence[str], right: Sequence[str]) -> Column:

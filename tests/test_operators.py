@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import math
 import random
+import re
 from collections import Counter
+from decimal import Decimal
+from fractions import Fraction
 from itertools import combinations
 
 import pytest
@@ -13,11 +16,14 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from salesloom.functions.amounts import (
+    Wide,
     cents,
     from_cents,
     fraction,
     guarded_change,
+    from_units,
     money_sum,
+    units,
     wide_sum,
 )
 from salesloom.functions.dates import in_years
@@ -28,6 +34,25 @@ from salesloom.operators.pairing import orders_with_pairs, pair_totals, top_pair
 from salesloom.operators.ranking import top_k_with_ties
 
 
+def shuffled(frame):
+    """The plan of a finished run, with the numbers of its shuffles."""
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan()
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "Exchange":
+            found.append(f"shuffle records written: {node.metrics().apply('shuffleRecordsWritten').value()}")
+        nodes = [node.executedPlan()] if name == "AdaptiveSparkPlan" else [node.plan()] if "QueryStage" in name else []
+        children = node.children()
+        for child in nodes + [children.apply(i) for i in range(children.length())]:
+            walk(child)
+
+    walk(plan)
+    return "\n".join(found)
+
+
 def bag(frame):
     return Counter(tuple(r) for r in frame.collect())
 
@@ -176,11 +201,49 @@ def test_pair_totals_equal_all_pairs_summed(spark, seed):
 def test_orders_with_pairs_counts_combinations(spark):
     keys = [(1, 1), (1, 1), (1, 2), (1, 7), (2, 1), (2, 3), (3, 1), (3, 2), (None, 1), (None, 2)]
     lines = table(spark, "order_key long, part_key long, price long", *[(o, p, 10 * p) for o, p in keys])
+    lines = lines.select("order_key", "part_key", *Wide.of(F.col("price")).columns("price"))
     pairs = table(spark, "part_1 long, part_2 long, n long", (1, 2, 10))
-    found = orders_with_pairs(lines, pairs).select("order_key", F.col("hits").cast("int"), "price")
+    price = Wide.named("price").whole().cast("int")
+    found = orders_with_pairs(lines, pairs).select("order_key", F.col("hits").cast("int"), price)
     assert bag(found) == Counter([(1, 20, 110), (3, 10, 30)])
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_orders_with_pairs_moves_only_what_matches(spark, monkeypatch, small):
+    """Lines of other parts stay where they are, and prices those of matched orders, while these are few."""
+    monkeypatch.setattr(pairing, "is_small", lambda frame: small)
+    lines = spark.range(40_000).select(
+        (F.col("id") % 10_000).alias("order_key"), (F.col("id") % 997).alias("part_key"),
+        *Wide.of(F.lit(7).cast("long")).columns("price"),
+    )
+    pairs = table(spark, "part_1 long, part_2 long, n long", (0, 30, 1), (5, 35, 2))
+    found = orders_with_pairs(lines, pairs)
+    held = {}
+    for i in range(40_000):
+        held.setdefault(i % 10_000, []).append(i % 997)
+    want = Counter(
+        (order, a, b, parts.count(a) * parts.count(b) * n, 28)
+        for order, parts in held.items() for a, b, n in ((0, 30, 1), (5, 35, 2)) if parts.count(a) * parts.count(b)
+    )
+    assert want
+    price = Wide.named("price").whole().cast("int")
+    assert bag(found.select("order_key", "part_1", "part_2", F.col("hits").cast("int"), price)) == want
+    moved = [int(n) for n in re.findall(r"shuffle records written: ([0-9,]+)", shuffled(found))]
+    assert moved and (max(moved) <= 4 * len(want)) == small
+
+
+@pytest.mark.parametrize("same", [False, True])
+def test_a_floor_is_found_where_the_best_lines_have_no_partner(spark, same):
+    """All lines of the highest value are of one part of one order, or of single-line orders."""
+    alone = [(1 if same else 1000 + i, 1, 1e6) for i in range(400)]
+    rows = alone + [(o, p, float(o + p)) for o in range(2, 40) for p in range(5)]
+    lines = table(spark, "order_key long, part_key long, value double", *rows)
+    want = sorted((v for *_, v in all_pairs(rows)), reverse=True)[4]
+    assert pairing._floor(lines, 5) <= want
+    assert pairing._floor(lines, 5) > float("-inf")
+    assert {r.value for r in top_pairs(lines, 5).collect()} == {v for *_, v in all_pairs(rows) if v >= want}
+
+
 def test_one_outlier_does_not_lift_all_lines_over_the_floor(spark):
     lines = spark.range(60_000).select(
         (F.col("id") % 15_000).alias("order_key"),
@@ -214,15 +277,61 @@ def test_money_sum_does_not_drift(spark):
     assert frame.agg(money_sum("x")).first()[0] == 100.0
 
 
-@pytest.mark.parametrize("amount", ["2.675D", "2.6750BD", "0.001D", "double('infinity')"])
+@pytest.mark.parametrize("amount", ["2.675D", "2.6750BD", "0.001D", "double('infinity')", "123456789012.345D", "1e30D"])
 def test_cents_never_round(spark, amount):
     frame = spark.sql(f"SELECT {amount} AS a")
     with pytest.raises(Exception, match="not a whole number|cannot be cast"):
         frame.select(cents("a")).collect()
-    if "inf" not in amount:
+    if amount not in ("double('infinity')", "1e30D"):
         assert frame.select(cents("a", 10_000)).first()[0] == round(float(frame.first()[0]) * 10_000)
 
 
+def test_units_of_large_decimals_are_exact(spark):
+    """Amounts around where doubles become too coarse, and at the limit of what is staged."""
+    rng = random.Random(3)
+    near = [10**e + d for e in range(1, 18) for d in (-1, 0, 1)] + [2**e + d for e in range(45, 59) for d in (-1, 0, 1)]
+    whole = near + [rng.randrange(10 ** rng.randrange(1, 19)) for _ in range(2000)] + [10**18 - 1, 0]
+    whole = [sign * n for n in whole for sign in (1, -1)]
+    frame = table(spark, "a decimal(18,4)", *[(Decimal(n).scaleb(-4),) for n in whole], (None,))
+    assert bag(frame.select(units("a"))) == Counter([(n,) for n in whole] + [(None,)])
+    even = [n for n in whole if n % 100 == 0]
+    frame = table(spark, "a decimal(18,4)", *[(Decimal(n).scaleb(-4),) for n in even])
+    assert bag(frame.select(cents("a"))) == Counter((n // 100,) for n in even)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_wide_numbers_are_python_integers(spark, seed):
+    rng = random.Random(seed)
+
+    def number(bits):
+        return rng.choice([-1, 1]) * rng.randrange(1 << rng.randrange(1, bits))
+
+    rows = [(rng.randrange(3), None if rng.random() < 0.1 else number(62), number(20), number(60)) for _ in range(300)]
+    frame = table(spark, "g int, x long, f long, y long", *rows).repartition(5)
+    x, y = Wide.of(F.col("x")), Wide.of(F.col("y"))
+    once = frame.groupBy("g", "f").agg(
+        *x.sum().columns("x"), *x.times(F.col("f")).sum().columns("xf"), *y.minus(x.times(F.col("f"))).sum().columns("d")
+    )
+    twice = once.groupBy("g").agg(
+        Wide.named("x").sum().whole().alias("x"),
+        Wide.named("xf", 3).sum().whole().alias("xf"),
+        Wide.named("d", 3).sum().whole().alias("d"),
+    )
+    for r in twice.collect():
+        of = [(a, f, b) for g, a, f, b in rows if g == r.g and a is not None]
+        assert (int(r.x), int(r.xf), int(r.d)) == (
+            sum(a for a, *_ in of), sum(a * f for a, f, _ in of), sum(b - a * f for a, f, b in of)
+        )
+
+
+def test_totals_become_the_closest_doubles(spark):
+    rng = random.Random(8)
+    totals = [rng.randrange(10 ** rng.randrange(1, 28)) for _ in range(500)]
+    frame = table(spark, "t decimal(38,0)", *[(Decimal(t),) for t in totals])
+    found = [tuple(r) for r in frame.select(from_units("t"), from_units("t", 8)).collect()]
+    assert found == [(float(Fraction(t, 10**4)), float(Fraction(t, 10**8))) for t in totals]
+
+
 def test_cents_of_doubles_and_decimals(spark):
     frame = spark.sql(
         "SELECT * FROM VALUES (1.15D, 1.15BD), (-104999.91D, -104999.91BD), (0.29D, 0.29BD) t(a, b)"
