@@ -32,6 +32,8 @@ from salesloom.sources.ingest import (
 )
 from salesloom.sources.snapshots import (
     Staged,
+    commit,
+    draft,
     on_day,
     read_day,
     read_snapshots,
@@ -85,7 +87,7 @@ class TestArchives:
                 return head
 
         text = "a|é|\r\n\nb|\u2028c\rd\x0b\x85e\nlast"
-        blocks = list(archives._whole_lines(Slow(text.encode())))
+        blocks = [block for block, broken in archives._whole_lines(Slow(text.encode())) if not broken]
         assert all(block.endswith("\n") for block in blocks[:-1])
         found = [line for block in blocks for line in block.split("\n")]
         assert [x for x in found if x] == [x for x in text.splitlines() if x]
@@ -97,9 +99,37 @@ class TestArchives:
 
     def test_bad_utf8_is_an_error(self, spark, tmp_path):
         path = zipped(tmp_path / "bad.zip", rows=b"1|\xff\xfe|\n")
-        with pytest.raises(Exception, match="utf-8"):
+        with pytest.raises(Exception, match="not utf-8: .*bad.zip rows 1"):
             read_lines(spark, path).collect()
 
+    @pytest.mark.parametrize("size", [1, 2, 3, 5, 64])
+    def test_bad_bytes_mark_their_line_wherever_pieces_end(self, size, monkeypatch):
+        class Slow:
+            def __init__(self, data):
+                self.data = data
+
+            def read(self, _):
+                head, self.data = self.data[:size], self.data[size:]
+                return head
+
+        text = "1|é|\r\n".encode() + b"2|\xff\xfe|\n\n3|\xc3|\r" + "4|\u20ac|\n".encode() + b"5|\xe2\x82\n6|z|\n7|\xe2"
+        found = []
+        for block, broken in archives._whole_lines(Slow(text)):
+            found += [(line, i in broken) for i, line in enumerate(block.removesuffix("\n").split("\n"))]
+        assert [(line[0], broken) for line, broken in found if line] == [
+            ("1", False), ("2", True), ("3", True), ("4", False), ("5", True), ("6", False), ("7", True)
+        ]
+        assert found[2][0] == "" and found[4][0] == "4|\u20ac|"
+        assert all((archives.BAD_BYTE in line) == broken for line, broken in found)
+
+    def test_lines_know_where_they_stand(self, spark, tmp_path):
+        text = "".join(f"{i}|\r\n" if i % 5 else "\n" for i in range(1, 200_001))
+        zipped(tmp_path / "a.zip", one=text, two="x|\n\ny|")
+        rows = archives.read_numbered_lines(spark, str(tmp_path)).collect()
+        assert {(r.number, r.line) for r in rows if r.member == "one"} == {(i, f"{i}|") for i in range(1, 200_001) if i % 5}
+        assert [(r.number, r.line) for r in rows if r.member == "two"] == [(1, "x|"), (3, "y|")]
+        assert all(r.archive.endswith("/a.zip") and r.broken is False for r in rows)
+
     def test_listing_does_not_read_contents(self, spark, tmp_path):
         path = zipped(tmp_path / "a.zip", rows="1|\n")
         text = plan(spark.read.format("binaryFile").load(path).select("path"))
@@ -191,6 +221,33 @@ class TestSnapshots:
         assert read_day(spark, root, "t", OTHER).count() == 4
 
 
+    def test_a_write_that_fails_leaves_the_old_day(self, spark, tmp_path):
+        root = str(tmp_path)
+        write_snapshot(spark.range(3), root, "t", DAY)
+        bad = spark.range(100).select(F.when(F.col("id") == 99, F.raise_error("no").cast("long")).otherwise(F.col("id")).alias("id"))
+        with pytest.raises(Exception, match="no"):
+            write_snapshot(bad, root, "t", DAY)
+        assert read_day(spark, root, "t", DAY).count() == 3
+        assert [p.name for p in (tmp_path / "_drafts").iterdir()] == []
+
+    def test_a_reader_during_a_write_sees_the_old_day(self, spark, tmp_path):
+        root = str(tmp_path)
+        write_snapshot(spark.range(3), root, "t", DAY)
+        with draft(spark, root, "t") as folder:
+            spark.range(8).write.parquet(folder)
+            assert read_day(spark, root, "t", DAY).count() == 3
+            assert read_snapshots(spark, root, "t").count() == 3
+            commit(spark, folder, root, "t", DAY)
+        assert read_day(spark, root, "t", DAY).count() == 8
+
+    def test_what_cannot_take_its_place_does_not_cost_the_old_day(self, spark, tmp_path):
+        root = str(tmp_path)
+        write_snapshot(spark.range(3), root, "t", DAY)
+        with pytest.raises(FileNotFoundError):
+            commit(spark, f"{root}/_drafts/never-written", root, "t", DAY)
+        assert read_day(spark, root, "t", DAY).count() == 3
+
+
 class TestCatalog:
     def test_a_column_called_year_keeps_its_values(self, spark, tmp_path):
         root = str(tmp_path / "results")
@@ -269,7 +326,9 @@ class TestIngest:
         staging = str(tmp_path / "staging")
         loaded = ingest(spark, str(tmp_path), staging, DAY, ("orders",))["orders"]
         assert loaded.rejected == 1 and spark.read.parquet(loaded.path).count() == 2
-        assert [tuple(r) for r in spark.read.parquet(loaded.rejects).collect()] == [(undated, ["o_orderdate"])]
+        reject = spark.read.parquet(loaded.rejects).first()
+        assert (reject.line, reject.refused, reject.member, reject.number) == (undated, ["o_orderdate"], "rows", 2)
+        assert reject.archive.endswith("/orders.tbl.zip")
         zipped(tmp_path / "orders.tbl.zip", rows="\n".join([good, undated, bad]))
         with pytest.raises(Refused, match="2 lines are refused"):
             ingest(spark, str(tmp_path), staging, OTHER, ("orders",))
@@ -278,6 +337,70 @@ class TestIngest:
         loaded = ingest(spark, str(tmp_path), staging, OTHER, ("orders",), strict=False)["orders"]
         assert loaded.rejected == 2 and spark.read.parquet(loaded.path).count() == 3
 
+    def test_an_archive_is_opened_once_for_its_lines(self, spark, tmp_path, monkeypatch):
+        good, bad = "1|2|O|3.50|1997-01-01|p|c|0|text|", "2|2|O|x|1997-01-01|p|c|0|text|"
+        source, log = tmp_path / "orders.tbl.zip", str(tmp_path / "log")
+        source.mkdir()
+        for i in range(6):
+            zipped(source / f"{i}.zip", rows="\n".join([good] * 50 + [bad] * (i % 2)))
+        whole_lines = archives._whole_lines
+
+        def logged(file):
+            with open(log, "a") as out:
+                out.write("read\n")
+            return whole_lines(file)
+
+        monkeypatch.setattr(archives, "_whole_lines", logged)
+        staging = str(tmp_path / "staging")
+        for strict in (False, True):
+            Path(log).write_text("")
+            if strict:
+                with pytest.raises(Refused, match="3 lines"):
+                    ingest(spark, str(tmp_path), staging, DAY, ("orders",))
+            else:
+                loaded = ingest(spark, str(tmp_path), staging, DAY, ("orders",), strict=False)["orders"]
+                assert loaded.rejected == 3 and spark.read.parquet(loaded.path).count() == 303
+            assert Path(log).read_text().count("read") == 6
+            assert read_day(spark, staging, "orders_rejects", DAY).count() == 3
+
+    def test_a_bad_byte_costs_its_field(self, spark, tmp_path):
+        rows = [b"1|2|O|3.50|1997-01-01|p|c|0|t\xc3\xa9xt|", b"2|2|O|3.50|1997-01-01|p|\xff|0|t|", b"3|2|O|3.\xfe|1997-01-01|p|c|0|t|"]
+        zipped(tmp_path / "orders.tbl.zip", rows=b"\n".join(rows))
+        staging = str(tmp_path / "staging")
+        with pytest.raises(Refused, match="2 lines"):
+            ingest(spark, str(tmp_path), staging, DAY, ("orders",))
+        loaded = ingest(spark, str(tmp_path), staging, DAY, ("orders",), strict=False)["orders"]
+        staged = {r.o_orderkey: r for r in spark.read.parquet(loaded.path).collect()}
+        assert staged[1].o_comment == "t\u00e9xt" and staged[2].o_orderclerk is None and staged[2].o_comment == "t"
+        assert staged[3].o_totalprice is None and staged[3].o_orderclerk == "c"
+        rejects = {r.number: (r.line, r.refused) for r in spark.read.parquet(loaded.rejects).collect()}
+        assert rejects == {
+            2: ("2|2|O|3.50|1997-01-01|p|\ufffd|0|t|", ["o_orderclerk"]),
+            3: ("3|2|O|3.\ufffd|1997-01-01|p|c|0|t|", ["o_totalprice"]),
+        }
+
+    def test_a_refused_ingest_leaves_the_old_day(self, spark, tmp_path):
+        good, bad = "1|2|O|3.50|1997-01-01|p|c|0|text|", "2|2|O|x|1997-01-01|p|c|0|text|"
+        staging = str(tmp_path / "staging")
+        zipped(tmp_path / "orders.tbl.zip", rows=good)
+        ingest(spark, str(tmp_path), staging, DAY, ("orders",))
+        zipped(tmp_path / "orders.tbl.zip", rows="\n".join([good] * 9 + [bad]))
+        with pytest.raises(Refused):
+            ingest(spark, str(tmp_path), staging, DAY, ("orders",))
+        assert Staged(spark, staging, DAY)["orders"].count() == 1
+        assert read_day(spark, staging, "orders_rejects", DAY).count() == 1
+        zipped(tmp_path / "orders.tbl.zip", rows="\n".join([good] * 4))
+        ingest(spark, str(tmp_path), staging, DAY, ("orders",))
+        assert Staged(spark, staging, DAY)["orders"].count() == 4
+        assert not Path(snapshot_path(staging, "orders_rejects", DAY)).exists()
+        assert list((tmp_path / "staging" / "_drafts").iterdir()) == []
+
+    def test_an_empty_archive_makes_an_empty_table(self, spark, tmp_path):
+        zipped(tmp_path / "orders.tbl.zip", rows="\n\n")
+        loaded = ingest(spark, str(tmp_path), str(tmp_path / "staging"), DAY, ("orders",))["orders"]
+        assert spark.read.parquet(loaded.path).schema == schema("orders")
+        assert spark.read.parquet(loaded.path).count() == 0
+
     def test_plain_tables_have_rejects_too(self, spark, tmp_path):
         (tmp_path / "nation.tbl").write_text('1|A|2|c|\n2|"BR|x|zz|\n3|C|4||\n4|D\n')
         loaded = ingest(spark, str(tmp_path), str(tmp_path / "staging"), DAY, ("nation",))["nation"]
