@@ -15,9 +15,10 @@ from __future__ import annotations
 import base64
 import hashlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -25,40 +26,81 @@ from pyspark.sql import functions as F
 
 from salesloom.llm.tables import ids_and_texts
 
-CACHED_PIECES = 400_000  # pieces remembered per task, all short; then the memory starts anew
+CACHED_PIECES = 500_000  # twice as many are remembered, all short, by each worker
 CACHED_CHARS = 64
 NEVER = (1 << 63) - 1
+SHORT = 1 << 12  # bytes up to which a tree is a list, which is quicker than an array but takes more room
+
+
+def merged(piece: bytes, rank_of: Callable[[bytes], int | None]) -> list[bytes]:
+    """The tokens of a piece after all merges: the lowest rank first, of equal ones the leftmost."""
+    n = len(piece)
+    bits = max(1, (n - 1).bit_length())
+    size = 1 << bits
+    # rank and place in one number: the least is the leftmost pair of the lowest rank
+    tree = [NEVER] * (2 * size) if n <= SHORT else array("q", [NEVER]) * (2 * size)
+    for i in range(n - 1):
+        rank = rank_of(piece[i : i + 2])
+        if rank is not None:
+            tree[size + i] = rank << bits | i
+    for node in range(size - 1, 0, -1):
+        left, right = tree[2 * node], tree[2 * node + 1]
+        tree[node] = left if left < right else right
+    # a token lies at its first byte; before and after are its live neighbours
+    before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+    while (least := tree[1]) != NEVER:
+        i = least & size - 1
+        j = after[i]
+        k = after[i] = after[j]
+        rank = None
+        if k < n:
+            before[k] = i
+            rank = rank_of(piece[i : after[k]])
+        changes = [(j, NEVER), (i, NEVER if rank is None else rank << bits | i)]
+        h = before[i]
+        if h >= 0:
+            rank = rank_of(piece[h:k])
+            changes.append((h, NEVER if rank is None else rank << bits | h))
+        for place, value in changes:
+            node = place + size
+            tree[node] = value
+            while node > 1:
+                other = tree[node ^ 1]
+                node >>= 1
+                if other < value:
+                    value = other
+                if tree[node] == value:
+                    break  # nothing above changes either
+                tree[node] = value
+    tokens, i = [], 0
+    while i < n:
+        tokens.append(piece[i : after[i]])
+        i = after[i]
+    return tokens
+
+
+class KnownPieces(dict):
+    """Ids of pieces, as bytes of 32-bit numbers; short pieces are remembered.
+
+    Once full, what is known becomes the older half, of which a piece comes back when it is met again.
+    """
 
+    def __init__(self, ranks: dict[bytes, int]):
+        super().__init__()
+        self.ranks, self.older = ranks, {}
 
-class PairTree:
-    """Segment tree of the ranks of neighbouring pairs, by the place of the left one."""
-
-    def __init__(self, ranks: list[int | None]):
-        self.bits = max(1, (len(ranks) - 1).bit_length())
-        self.size = 1 << self.bits
-        # rank and place in one number: the least is the leftmost of the lowest rank
-        leaves = array("q", [NEVER if rank is None else rank << self.bits | i for i, rank in enumerate(ranks)])
-        tree = array("q", [NEVER]) * self.size + leaves
-        tree.extend(array("q", [NEVER]) * (2 * self.size - len(tree)))
-        for node in range(self.size - 1, 0, -1):
-            tree[node] = min(tree[2 * node], tree[2 * node + 1])
-        self.tree = tree
-
-    def least(self) -> int | None:
-        """The place of the leftmost pair of the lowest rank, None without pairs."""
-        top = self.tree[1]
-        return None if top == NEVER else top & (self.size - 1)
-
-    def set(self, place: int, rank: int | None) -> None:
-        tree, node = self.tree, place + self.size
-        tree[node] = NEVER if rank is None else rank << self.bits | place
-        node >>= 1
-        while node:
-            least = min(tree[2 * node], tree[2 * node + 1])
-            if tree[node] == least:
-                return  # nothing above changes either
-            tree[node] = least
-            node >>= 1
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            data = piece.encode()
+            tokens = [data] if data in self.ranks else merged(data, self.ranks.get)
+            ids = array("I", [self.ranks[token] for token in tokens]).tobytes()
+        if len(piece) <= CACHED_CHARS:
+            if len(self) >= CACHED_PIECES:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
 
 
 class ByteBpe:
@@ -71,50 +113,14 @@ class ByteBpe:
                 token, rank = line.split()
                 self.ranks[base64.b64decode(token)] = int(rank)
         self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.pieces = regex.compile(pattern).finditer
-        self.known: dict[str, array] = {}
-
-    def merge(self, piece: bytes) -> Iterator[int]:
-        """The ids of a piece that is no token: the lowest rank first, of equal ones the leftmost."""
-        n, rank_of = len(piece), self.ranks.get
-        # a token lies at its first byte; before and after are its live neighbours
-        before, after = array("q", range(-1, n - 1)), array("q", range(1, n + 1))
-        tree = PairTree([rank_of(piece[i : i + 2]) for i in range(n - 1)] + [None])
-        while (i := tree.least()) is not None:
-            j = after[i]
-            k = after[i] = after[j]
-            if k < n:
-                before[k] = i
-            tree.set(j, None)
-            tree.set(i, rank_of(piece[i : after[k]]) if k < n else None)
-            h = before[i]
-            if h >= 0:
-                tree.set(h, rank_of(piece[h:k]))
-        i = 0
-        while i < n:
-            yield self.ranks[piece[i : after[i]]]
-            i = after[i]
-
-    def piece(self, piece: str) -> array:
-        ids = self.known.get(piece)
-        if ids is None:
-            data = piece.encode()
-            whole = self.ranks.get(data)
-            ids = array("I", self.merge(data) if whole is None else [whole])
-            if len(piece) <= CACHED_CHARS:
-                if len(self.known) >= CACHED_PIECES:
-                    self.known.clear()
-                self.known[piece] = ids
-        return ids
+        self.pieces = regex.compile(pattern).findall
+        self.known = KnownPieces(self.ranks)
 
-    def encode(self, text: str) -> array:
-        ids = array("I")
-        for match in self.pieces(text):
-            ids.extend(self.piece(match.group()))
-        return ids
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.known.__getitem__, self.pieces(text))), dtype=np.uint32)
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def decode(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
 @cache
@@ -135,7 +141,7 @@ def encoded(
     repeated rows, an empty table none, and no other column is read.
     """
 
-    def result(bpe: ByteBpe, ids: array) -> tuple:
+    def result(bpe: ByteBpe, ids: np.ndarray) -> tuple:
         return ids.tolist(), bpe.decode(ids)
 
     return _each_text(docs, ranks, pattern, id_col, text_col, result, "ids array<int>, decoded binary")
@@ -150,8 +156,8 @@ def digests(
     that of the decoded bytes.
     """
 
-    def result(bpe: ByteBpe, ids: array) -> tuple:
-        return len(ids), _sha(" ".join(map(str, ids)).encode()), _sha(bpe.decode(ids))
+    def result(bpe: ByteBpe, ids: np.ndarray) -> tuple:
+        return len(ids), _sha(" ".join(map(str, ids.tolist())).encode()), _sha(bpe.decode(ids))
 
     layout = "n_tokens long, ids_sha256 string, decoded_sha256 string"
     return _each_text(docs, ranks, pattern, id_col, text_col, result, layout)
