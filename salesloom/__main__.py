@@ -34,6 +34,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     some.add_argument("answers", nargs="*", choices=[[], *ANSWERS], help="by default all ten")
     day = job("day", "ingest, answer and register", "source", "staging", "results")
     day.add_argument("--database", help="prefix of the databases to register in")
+    day.add_argument("--again", action="store_true", help="also what an earlier run has finished")
     watch = job("watch", "run when a set of source files arrives", "source", "staging", "results")
     watch.add_argument("--progress", required=True, help="folder that remembers what was seen")
     watch.add_argument("--every", help='look again and again, for example "5 minutes"')
@@ -70,7 +71,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
     if options.job == "day":
         return show(
             run_day(
-                spark, options.source, options.staging, options.results, day, options.database
+                spark, options.source, options.staging, options.results, day, options.database, options.again
             )
         )
     reports: list[bool] = []

@@ -21,6 +21,12 @@ class Answer:
     build: Callable[..., DataFrame]
     tables: tuple[str, ...]
 
+    @property
+    def reads(self) -> tuple[str, ...]:
+        """The staged tables behind it."""
+        named = [name for name in self.tables if name != "sold"]
+        return tuple({*named, *SOLD_FROM} if "sold" in self.tables else named)
+
     def __call__(self, tables: Mapping[str, DataFrame], **options) -> DataFrame:
         """The answer over tables by name; a ``sold`` base given as option is used as it is."""
         named = {name: tables[name] for name in self.tables if name not in (*options, "sold")}

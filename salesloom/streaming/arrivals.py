@@ -2,8 +2,10 @@
 
 A file stream over the source folder notices new files by name and time and
 never reads their contents; its progress folder remembers which it has seen.
-A run starts once something is new and all eight sources are there. Repeating
-a run after a failure is harmless, as it replaces the snapshots of its date.
+A run starts once something is new and a whole set has arrived: all eight
+sources are there, and the files of each are others than those of the last
+ingest. Files of which only some have arrived start nothing. A run that failed
+goes on where it stopped, by the record of its date.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from salesloom.plans.daily import Outcome, run_day
+from salesloom.plans.manifest import Manifest, fingerprints
+from salesloom.schemas import LAYOUT
 from salesloom.sources.ingest import missing_sources
 
 # The columns Spark gives for a file.
@@ -42,9 +46,13 @@ def run_on_arrival(
     database: str | None = None,
     every: str | None = None,
     report: Callable[[list[Outcome]], None] = lambda outcomes: None,
+    delivered: tuple[str, ...] = tuple(LAYOUT),
 ) -> StreamingQuery:
     """Watch the source folder and run whenever a complete set has new files.
 
+    ``delivered`` are the tables that come anew with every set; tables that
+    change seldom can be left out of it.
+
     Without ``every``, what is there now is looked at once and the query ends;
     with it, for example "5 minutes", the query goes on looking. ``day`` is the
     load date, by default that of the moment the run starts. ``progress`` is a
@@ -54,6 +62,9 @@ def run_on_arrival(
     def start(files: DataFrame, _: int) -> None:
         if files.isEmpty() or missing_sources(spark, source):
             return
+        now, last = fingerprints(spark, source), Manifest.last(spark, results).staged
+        if any(now[table] == last.get(table) for table in delivered):
+            return
         report(run_day(spark, source, staging, results, day or date.today(), database))
 
     writer = (

@@ -46,6 +46,18 @@ def test_waits_for_the_last_source_and_runs_once(spark, tmp_path):
     look()
     assert len(runs) == 1
 
+    # of the next set, seven of eight start nothing; the last one starts the run
+    moved = names[:-1]
+    for name in moved:
+        path = next(p for p in (source / name).rglob("*") if p.is_file() and not p.name.startswith((".", "_")))
+        shutil.copy(path, path.with_name(f"more-{path.name}"))
+    look()
+    assert len(runs) == 1
+    path = next(p for p in (source / names[-1]).rglob("*") if p.is_file() and not p.name.startswith((".", "_")))
+    shutil.copy(path, path.with_name(f"more-{path.name}"))
+    look()
+    assert len(runs) == 2 and not any(o.reused for o in runs[1])
+
 
 def test_contents_are_not_read(spark, tmp_path):
     (tmp_path / "a.tbl").write_text("1|\n")
