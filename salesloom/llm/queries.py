@@ -52,7 +52,8 @@ def semi_markov_pii(spark, folder):
 @query("op2_host_rules", quality_rules.SQL)
 def host_rules(spark, folder):
     columns = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept verdict"
-    return quality_rules.judged(corpus_table(spark, folder, "documents")).select(*columns.split())
+    rows = quality_rules.judged(corpus_table(spark, folder, "documents"), carry=["doc_id"])
+    return rows.select(*columns.split())
 
 
 @query("op3_pareto_mix", mixing.SQL)

@@ -1,10 +1,11 @@
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import duckdb
 import pytest
-from llm.corpus import CLASHING, edge, edge_rows, nothing, words
+from llm.corpus import CLASHING, edge, edge_rows, nothing, with_clashes, words
 from pyspark.sql import functions as F
 
 from salesloom.llm import quality_rules as rules
@@ -48,21 +49,60 @@ def test_edges_and_sql(spark, tmp_path):
 def hosts(spark):
     good = " ".join(f"word{i % 61} and{i % 17}" for i in range(60))
     junk = " ".join(f"word{i % 61}### and{i % 17}***" for i in range(60))
-    rows = [("clean", good)] * 400 + [("mixed", good)] * 50 + [("mixed", junk)] * 50 + [("spam", junk)] * 400
-    rows += [("spam", good)] + [("tiny", junk)]
+    rows = [("clean", good)] * 397 + [("clean", junk)] * 3 + [("mixed", good)] * 50 + [("mixed", junk)] * 50
+    rows += [("spam", junk)] * 400 + [("spam", good)] + [("tiny", junk)]
     return spark.createDataFrame([(i, s, t) for i, (s, t) in enumerate(rows)], "doc_id long, source string, text string")
 
 
 def test_host_verdicts(spark, hosts):
     found = {r.host[1:]: r for r in rules.host_verdicts(rules.measured(hosts)).collect()}
-    assert [found[h].verdict for h in ("clean", "mixed", "spam", "tiny")] == ["trusted", "watched", "rejected", "watched"]
+    assert [found[h].verdict for h in ("clean", "mixed", "spam", "tiny")] == ["trusted", "trusted", "rejected", "watched"]
     assert 0.5 < found["tiny"].shrunk_rate < 0.95 and found["spam"].shrunk_rate > 0.95
+    # asked for near certainty, one document says too little
+    sure = {r.host[1:]: r.verdict for r in rules.host_verdicts(rules.measured(hosts), watch=0.99).collect()}
+    assert sure == {"clean": "trusted", "mixed": "trusted", "spam": "rejected", "tiny": "trusted"}
 
 
 def test_verdicts_come_back_to_documents(spark, hosts):
+    """The same text stays on one host and goes on another."""
     kept = rules.judged(hosts).groupBy("host", "rule_failed").agg(F.min("kept").alias("lo"), F.max("kept").alias("hi"))
     found = {(r.host[1:], r.rule_failed): r.lo for r in kept.collect() if r.lo == r.hi}
     assert found == {
-        ("clean", False): True, ("mixed", False): True, ("mixed", True): False, ("spam", False): False,
-        ("spam", True): False, ("tiny", True): False,
+        ("clean", False): True, ("clean", True): True, ("mixed", False): True, ("mixed", True): True,
+        ("spam", False): False, ("spam", True): False, ("tiny", True): False,
     }
+    passed = rules.passed(with_clashes(hosts))
+    assert passed.columns == with_clashes(hosts).columns
+    want = {r.doc_id for r in rules.judged(hosts).where("kept").collect()}
+    assert {r.doc_id for r in passed.collect()} == want and len(want) == 500
+
+
+def test_hosts_differ_on_the_given_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = rules.judged(docs, carry=["doc_id"])
+    assert {r.verdict for r in rows.select("verdict").distinct().collect()} == {"trusted", "watched"}
+    assert rows.where("kept <> (NOT base_failed AND NOT rule_failed)").count() > 0
+
+
+@pytest.mark.parametrize("size", [1, 5, 40])
+def test_chance_alone_gives_the_strongest_prior(size):
+    dice = random.Random(size)
+    failed = [sum(dice.random() < 0.1 for _ in range(size)) for _ in range(20_000)]
+    strength = rules.fitted_strength(
+        len(failed), size * len(failed), sum(failed), sum(f * f / size for f in failed), size * size * len(failed)
+    )
+    assert strength > 500
+
+
+@pytest.mark.parametrize("strength", [4, 50])
+def test_the_prior_of_made_up_hosts_is_found(strength):
+    dice = random.Random(strength)
+    hosts = []
+    for _ in range(20_000):
+        n, rate = dice.choice([1, 2, 5, 30, 200]), dice.betavariate(0.2 * strength, 0.8 * strength)
+        hosts.append((n, sum(dice.random() < rate for _ in range(n))))
+    found = rules.fitted_strength(
+        len(hosts), sum(n for n, _ in hosts), sum(f for _, f in hosts),
+        sum(f * f / n for n, f in hosts), sum(n * n for n, _ in hosts),
+    )
+    assert 0.8 * strength < found < 1.25 * strength
