@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesloom.llm.tables import join_salted
+from salesloom.llm.tables import join_salted, sums_before
 from salesloom.session import stored
 
 WEIGHTS = (3, 1, 2)
@@ -51,27 +51,66 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float
     caps, add up: sources are capped in the order of cap by weight.
     """
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("position") % len(weights) + 1).cast("int"))
-    everything = Window.partitionBy(F.lit(0))
-    by_cap = everything.orderBy(F.col("most") / F.col("weight"), "position")
-    before = by_cap.rowsBetween(Window.unboundedPreceding, -1)
-    rows = (
-        sizes.withColumn("position", F.row_number().over(everything.orderBy("key")) - 1)
-        .withColumn("weight", weight.cast("double"))
-        .withColumn("most", cap * F.col("source_size"))
-        .withColumn("total", share * F.sum("source_size").over(everything))
-        .withColumn("capped", F.coalesce(F.sum("most").over(before), F.lit(0.0)))
-        .withColumn("open", F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-        .withColumn("level", (F.col("total") - F.col("capped")) / F.col("open"))
-    )
+    placed = sums_before(sizes, [F.col("key")], position=F.lit(1))
+    placed = placed.withColumn("position", F.col("position").cast("long")).withColumn("weight", weight.cast("double"))
+    placed = placed.withColumn("most", cap * F.col("source_size"))
+    by_cap = [F.col("most") / F.col("weight"), F.col("position")]
+    rows = stored(sums_before(placed, by_cap, capped=F.col("most"), passed=F.col("weight")), "mix-sources")
+    words, all_weights = rows.agg(F.sum("source_size"), F.sum("weight")).first()
     # the level rises while sources are capped rightly and falls once one is capped too early
-    level = F.max("level").over(everything)
-    target = F.least(F.col("most"), level * F.col("weight"))
+    at = (F.lit(share * (words or 0)) - F.col("capped")) / (F.lit(all_weights or 0.0) - F.col("passed"))
+    level = rows.agg(F.max(at)).first()[0]
+    target = F.least(F.col("most"), F.lit(level).cast("double") * F.col("weight"))
     return rows.select("key", "source_size", target.alias("target"))
 
 
-def random_odds(doc_id: Column, seed: str = SEED) -> Column:
-    """u / (1 - u) for a u of (0, 1) that is a hash of the id."""
-    digest = F.sha2(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("-"))), 256)
+def base_rows(docs: DataFrame, id_col: str, text_col: str, source_col: str, carry: list[str] | None) -> DataFrame:
+    """A row per document: ``doc`` (the columns carried), its id, size, source key, and random odds.
+
+    The odds are a hash of what tells rows apart, ``mark``, and of an ordinal among
+    the rows that have the same. Stored once, so that a row has the same number in all steps.
+    """
+    key = source_key(docs[source_col])
+    name = F.coalesce(docs[id_col].cast("string"), F.lit("-"))
+    rows = stored(
+        docs.select(
+            F.struct(*[docs[c] for c in carry or docs.columns]).alias("doc"),
+            docs[id_col].alias("doc_id"),
+            n_words(docs[text_col]).alias("size"),
+            key.alias("key"),
+            F.md5(F.concat(name, F.lit(":"), key, F.lit(":"), F.coalesce(docs[text_col], F.lit("")))).alias("mark"),
+            F.monotonically_increasing_id().alias("row"),
+            F.spark_partition_id().alias("part"),
+        ),
+        "mix-rows",
+    )
+    repeated = stored(rows.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark"), "repeated")
+    if repeated.isEmpty():
+        rows = rows.withColumn("ordinal", F.lit(0).cast("long"))
+    else:
+        rows = rows.join(ordinals(rows.join(repeated, "mark", "left_semi")), "row", "left")
+        rows = rows.withColumn("ordinal", F.coalesce("ordinal", F.lit(0).cast("long")))
+    return rows.withColumn("odds", random_odds(F.col("mark"), F.col("ordinal"))).drop("mark", "part", "ordinal")
+
+
+def ordinals(rows: DataFrame) -> DataFrame:
+    """``row`` and ``ordinal``: 0, 1, 2... among rows of one mark.
+
+    Numbered within each part they were read in, and then from where the parts
+    before end, so that no task gets more rows of a mark than one part has.
+    """
+    inside = Window.partitionBy("part", "mark").orderBy("row")
+    earlier = Window.partitionBy("mark").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.select("row", "part", "mark", (F.row_number().over(inside) - 1).alias("place"))
+    counts = rows.groupBy("mark", "part").agg(F.count("*").alias("n"))
+    starts = counts.select("mark", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    found = placed.join(starts, ["mark", "part"]).select("row", (F.col("place") + F.col("start")).alias("ordinal"))
+    return stored(found, "ordinals")
+
+
+def random_odds(mark: Column, ordinal: Column, seed: str = SEED) -> Column:
+    """u / (1 - u) for a u of (0, 1) that is a hash of the row."""
+    digest = F.sha2(F.concat(F.lit(seed + ":"), mark, F.lit(":"), ordinal.cast("string")), 256)
     u = (F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") + 0.5) / float(2**48)
     return u / (1.0 - u)
 
@@ -119,22 +158,14 @@ def _cut(rows: DataFrame, room: DataFrame) -> DataFrame:
     )
 
 
-def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-             weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
+def plan_mix(slim: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
     """What each source needs to decide on a document: one row per source.
 
-    Columns: key, source_size, target, whole (certain copies), open_share (the
-    share that remains), mean_size, and end_i, most_i of each round: a document
-    of at most most_i words whose rank is below end_i is taken once more.
+    ``slim`` has key, size and odds, and is read several times. Columns: key,
+    source_size, target, whole (certain copies), open_share (the share that
+    remains), mean_size, and end_i, most_i of each round: a document of at most
+    most_i words whose rank is below end_i is taken once more.
     """
-    slim = stored(
-        docs.select(
-            random_odds(docs[id_col]).alias("odds"),
-            n_words(docs[text_col]).alias("size"),
-            source_key(docs[source_col]).alias("key"),
-        ),
-        "mix-sizes",
-    )
     sizes = slim.groupBy("key").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     sources = sizes.join(targets(sizes.select("key", "source_size"), weights, share, cap).select("key", "target"), "key")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -166,24 +197,23 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
-    """All columns of ``docs`` in a struct ``doc``, its id, and how the mix takes it.
-
-    ``size`` words, ``source_size``, ``target`` of its source, ``copies`` and
-    ``taken`` = copies times size. A null text has no words, null is a source of
-    its own and comes last, and a document without words is taken as often as
-    its source is whole. Rows that repeat an id and a size are drawn together.
-    A source without words has target 0. An empty table gives no rows. The draw
-    is a hash of the id: runs agree.
+        weights=WEIGHTS, share: float = SHARE, cap: float = CAP, carry: list[str] | None = None) -> DataFrame:
+    """How the mix takes every document, one row each, with its columns ``carry``, by default all, as ``doc``.
+
+    ``doc_id``, ``size`` words, ``source_size``, ``target`` of its source, ``copies``
+    and ``taken`` = copies times size. A null text has no words, null is a source
+    of its own and comes last, and a document without words is taken as often as
+    its source is whole. Texts of any length count whole; a document longer than
+    the words its source lacks is not drawn. Every row is drawn for itself, also
+    of rows that share an id or are alike in id, text and source. Rows of one rank,
+    which two hashes of 48 bits would have to share, stay together. A source
+    without words has target 0. An empty table gives no rows. The draw is a hash
+    of id, source, text and an ordinal of rows alike: runs agree.
     """
-    plan = plan_mix(docs, id_col, text_col, source_col, weights, share, cap)
-    rows = join_salted(docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("doc"),
-        docs[id_col].alias("doc_id"),
-        random_odds(docs[id_col]).alias("odds"),
-        n_words(docs[text_col]).alias("size"),
-        source_key(docs[source_col]).alias("key"),
-    ), plan, "key", "odds", "inner")
+    base = base_rows(docs, id_col, text_col, source_col, carry)
+    slim = stored(base.select("key", "size", "odds"), "mix-sizes")
+    plan = plan_mix(slim, weights, share, cap)
+    rows = join_salted(base, plan, "key", "row", "inner")
     rank = rank_of(F.col("odds"), F.col("size"), F.col("open_share"), F.col("mean_size"))
     drawn = F.lit(False)
     for i in range(1, ROUNDS + 1):
@@ -226,9 +256,10 @@ p{i} AS (SELECT p.* EXCLUDE (room, most, stop), c.stop,
 WITH docs AS (
   SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS key,
          CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
-         (CAST('0x' || substr(sha256('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '-')), 1, 12) AS BIGINT)
+         (CAST('0x' || substr(sha256('{SEED}:' || mark || ':' || (row_number() OVER (PARTITION BY mark) - 1)), 1, 12) AS BIGINT)
           + 0.5::DOUBLE) / {2**48}::DOUBLE AS u
-  FROM documents),
+  FROM (SELECT *, md5(coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || CASE WHEN source IS NULL THEN '1' ELSE '0' || source END
+                      || ':' || coalesce(text, '')) AS mark FROM documents)),
 sizes AS (SELECT key, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS n,
                  row_number() OVER (ORDER BY key) - 1 AS position FROM docs GROUP BY key),
 weighed AS (SELECT *, CAST([3, 1, 2][CAST(position % 3 + 1 AS BIGINT)] AS DOUBLE) AS weight,

@@ -58,7 +58,7 @@ def host_rules(spark, folder):
 
 @query("op3_pareto_mix", mixing.SQL)
 def pareto_mix(spark, folder):
-    taken = mixing.mix(corpus_table(spark, folder, "documents").select("doc_id", "text", "source"))
+    taken = mixing.mix(corpus_table(spark, folder, "documents"), carry=["doc_id"])
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
