@@ -141,3 +141,51 @@ def test_captions_formulas_and_raw_text_that_is_shown():
     ):
         assert main_text(page(article.format(part))) == start + text
     assert main_text(page(f"<article class=post hidden>{PROSE}</article>", f"<p>{PROSE}</p>")) == PROSE.strip()
+
+
+BODY = f"<h1>Title of it</h1><p>{PROSE * 3}</p><p>{PROSE * 4}</p>"
+LINES = ["Title of it", (PROSE * 3).strip(), (PROSE * 4).strip()]
+MENU = "<nav><ul><li><a href=/1>Home page</a></li><li><a href=/2>All news</a></li></ul></nav>"
+END = "<footer><p>&copy; 2024 The makers. All rights reserved.</p></footer>"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f"<html><head><meta charset=utf-8><link rel=x><body>{MENU}<div>{BODY}</div>{END}</body></html>",
+        f"<head><script>x()</script><div>{BODY}</div>{END}",
+        f"<body><form action=/all>{MENU}<div>{BODY}</div>{END}</form></body>",
+        f"<body><nav><ul><li><a href=/1>Home page</a></li></ul><main>{BODY}</main>{END}</body>",
+        f"<body><nav><a href=/1>Home page</a><div>{BODY}</div></body>",
+        f"<body>{MENU}<main role=form>{BODY}</main>{END}</body>",
+        f"<body>{MENU}<div class=sidebar><div>{BODY}</div></div>{END}</body>",
+        f"<body>{MENU}<article><header><h1>Title of it</h1></header>{BODY.partition('</h1>')[2]}</article>{END}</body>",
+        f"<body>{MENU}<article><div class=article-header><h1>Title of it</h1></div>{BODY.partition('</h1>')[2]}</article></body>",
+    ],
+)
+def test_names_do_not_cost_a_whole_page(html):
+    assert main_text(html).split("\n") == LINES
+
+
+def test_a_raw_element_without_its_end_goes_on_as_text():
+    assert main_text(f"<body><select><option>One<div>{BODY}</div>").split("\n")[-2:] == LINES[1:]
+    assert main_text(f"<body><div>{BODY}</div><script>var a = 'b, c. d';") == "\n".join(LINES)
+
+
+def test_names_lower_a_score_and_do_not_decide_it():
+    """Comments never become the article; a page without an article has none; the rest is a matter of ratios."""
+    long_comments = f"<div class=comments>{f'<p>{PROSE * 5}</p>' * 30}</div>"
+    assert main_text(page(f"<div>{BODY}</div>", long_comments)).split("\n") == LINES
+    assert main_text(f"<body>{MENU}{END}</body>") == ""
+    words = "<p>no marks here at all</p>"
+    paths, found = blocks(page(f"<div><b>{words * 3}</b></div>", f"<div class=notice><p>{PROSE * 500}</p></div>", "<div>x</div>" * 3))
+    assert len(content_paths(paths, found)) >= 1
+
+
+def test_pages_without_an_article_element(spark):
+    """The given pages with their article in a plain element keep the same text."""
+    rows = duckdb.sql("SELECT html FROM '/root/testdata/sf0.001/pages.parquet'").fetchall()
+    same = sum(
+        main_text(re.sub(r"<(/?)(?:article|main)\b[^>]*>", r"<\1div>", html)) == main_text(html) for (html,) in rows
+    )
+    assert same >= 0.9 * len(rows), same
