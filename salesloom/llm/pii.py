@@ -32,7 +32,8 @@ from salesloom.llm.tables import ids_and_texts
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_ZONES = 1500  # bound of the training sample
 ZONE_CHARS = 160  # longest zone used for training
-MAX_TOKENS = 24  # longest segment
+TRAINING_SEGMENTS = 400  # candidate segments of a zone used for training
+MAX_TOKENS = 24  # longest segment: that of bounded entities, base spans aside
 MAX_GROUPS = 8  # groups of digits in a segment
 EPOCHS = 6
 SEED = 7
@@ -44,12 +45,13 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 IP = re.compile(r"(?<![0-9])([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-TOKEN = re.compile(r"[0-9]+|[A-Za-z]+|[^0-9A-Za-z]")
+# a mark such as " [dot] " is one token, with its blanks
+TOKEN = re.compile(r" ?[\[(] ?(?:at|dot) ?[\])] ?|[0-9]+|[A-Za-z]+|[^0-9A-Za-z]", re.I)
 DIGIT_ZONE = re.compile(r"[(+]?[0-9](?:[ ().+-]{0,2}[0-9])*+")
 AT_MARK = re.compile(r"@|[\[(] ?at ?[\])]", re.I)
 DOT_MARK = re.compile(r"[\[(] ?dot ?[\])]", re.I)
+GOES_ON = re.compile(r"(?:\.| ?[\[(] ?dot ?[\])] ?)[A-Za-z0-9]", re.I)
 ADDRESS_TAIL = re.compile(r" ?[A-Za-z0-9-]+(?:(?:\.| ?[\[(] ?dot ?[\])] ?)[A-Za-z0-9-]+)*", re.I)
-REACH = 64  # characters that a zone takes in on each side of an address mark
 
 Span = tuple[int, int, str]
 
@@ -113,12 +115,11 @@ def zones(text: str) -> list[tuple[int, int]]:
     if "@" in text or "[" in text or "(" in text:
         for m in AT_MARK.finditer(text):
             start, end = m.span()
-            furthest = max(0, start - REACH)
-            if m[0] != "@" and start > furthest and text[start - 1] == " ":
+            if m[0] != "@" and start and text[start - 1] == " ":
                 start -= 1
-            while start > furthest and text[start - 1] in LOCAL:
+            while start and text[start - 1] in LOCAL:  # as far as the mark before, which is no such letter
                 start -= 1
-            tail = ADDRESS_TAIL.match(text, end, min(len(text), end + REACH))
+            tail = ADDRESS_TAIL.match(text, end)
             found.append((start, tail.end() if tail else end))
     merged: list[tuple[int, int]] = []
     for start, end in sorted(found):
@@ -161,6 +162,7 @@ def span_features(text: str, start: int, end: int) -> list[int] | None:
             f"labels {min(len(labels), 3)} {all(re.fullmatch('[A-Za-z0-9-]+', x) for x in labels)}",
             f"last label {labels[-1].isalpha()} {min(len(labels[-1]), 7)}",
             f"spaces {' ' in plain}",
+            f"goes on {bool(GOES_ON.match(text, end))}",
         ]
     else:
         if len(digits) < 7 or len(digits) > 20 or not ("0" <= span[-1] <= "9") or not ("0" <= span[0] <= "9" or span[0] in "(+"):
@@ -213,7 +215,7 @@ def candidates(text: str, start: int, end: int) -> tuple[list[int], list[tuple[i
         has_mark = False
         for j in range(i + 1, min(last, i + MAX_TOKENS) + 1):
             tail = text[bounds[j] - 1]
-            has_mark |= tail == "@" or text[bounds[j - 1] : bounds[j]].lower() == "at"
+            has_mark |= tail == "@" or AT_MARK.search(text, bounds[j - 1], bounds[j]) is not None
             if not has_mark and (digits[j] - digits[i] > 20 or groups[j] - groups[i] > MAX_GROUPS):
                 break
             if not tail.isalnum() or not (has_mark or digits[j] - digits[i] >= 7):
@@ -283,7 +285,7 @@ class SemiMarkov:
         ready = []
         for text, spans in examples:
             bounds, segments = candidates(text, 1, len(text) - 1)  # without the context
-            if not segments or len(segments) > 400:
+            if not segments or len(segments) > TRAINING_SEGMENTS:
                 continue
             place = {b: i for i, b in enumerate(bounds)}
             truth = {(place.get(s, -1), place.get(e, -1), KINDS.index(k)) for s, e, k in spans}
@@ -416,8 +418,13 @@ def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", field
     ``base_sha256``, and ``spans``: base and added spans as kind:start:end in
     code points, by start and then kind. Null and empty texts have no spans.
     Where segmentations score alike the one found first, with fewer segments, is
-    taken. Repeated rows give repeated rows, an empty table none; without zones
-    to learn from nothing is added. Other columns are not read.
+    taken. Texts of any length are read whole, zones to the end of an address; a
+    span that the field adds has at most ``MAX_TOKENS`` tokens, where a mark such
+    as " [dot] " is one. Repeated rows give repeated rows, an empty table none;
+    without zones to learn from nothing is added. Other columns are not read.
+
+    The field is learned from at most ``SAMPLE_ZONES`` different zones of at most
+    ``ZONE_CHARS`` characters and ``TRAINING_SEGMENTS`` candidate segments.
     """
     rows = ids_and_texts(docs, id_col, text_col)
     model = docs.sparkSession.sparkContext.broadcast((field or train(rows)).weights.astype("float32"))

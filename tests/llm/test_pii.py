@@ -120,5 +120,17 @@ def test_given_documents_train_and_score(spark):
 
 
 def test_long_texts_without_breaks(field):
-    for text in ("a" * 300_000, "1" * 300_000, "1." * 20_000, "a@" * 20_000, "@" * 20_000, "(at)" * 5_000, "1 2 3 " * 300):
+    for text in ("a" * 300_000, "1" * 300_000, "a." * 100_000 + "@b.c", "x [at] a" + " [dot] b" * 20_000, "1." * 20_000, "a@" * 20_000, "@" * 20_000, "(at)" * 5_000, "1 2 3 " * 300):
         pii.added_spans(text, pii.base_spans(text), field)
+
+
+def test_marks_with_blanks_are_one_token_and_zones_reach_the_end(field):
+    mail = "john.doe [at] mail [dot] example [dot] co [dot] uk"
+    text = f"Write to {mail} today."
+    zone = pii.zones(text)
+    assert [text[a:b] for a, b in zone] == [mail]
+    bounds, segments = pii.candidates(text, *zone[0])
+    assert len(bounds) - 1 == 11 and (0, 11) in {(i, j) for i, j, _ in segments}
+    assert (text.index("john"), text.index(" today"), "email") in pii.added_spans(text, [], field)
+    long = "a" * 90 + "@" + "b" * 90 + ".example.org"
+    assert [long[a:b] for a, b in pii.zones(f"x {long} y".strip("x y"))] == [long]
