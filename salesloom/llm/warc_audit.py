@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesloom.llm.tables import sums_before
 from salesloom.session import stored
 
 FAN_OUT = 16
@@ -21,11 +22,13 @@ ARCHIVE_PAGES = 1000
 
 def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
             damage: Column | None = None, archive_pages: int = ARCHIVE_PAGES) -> DataFrame:
-    """The response records of ``pages``, in archives of ``archive_pages`` consecutive ids.
+    """The response records of ``pages``, by id and then by hash, in archives of ``archive_pages``.
 
-    One row per page: archive, place (from 0, by id, then by hash), offset and
-    length in the archive, and the record's SHA-256. Null html is empty, null
-    urls are empty, null ids share the archive null. ``damage`` makes a replica:
+    One row per page: archive, place (from 0), offset and length in the archive,
+    and the record's SHA-256. Null html is empty, null urls are empty, null ids
+    come first; archives are cut by running number, so that no id makes a large
+    one. Repeated rows are as many records; html of any length is hashed whole; an
+    empty table gives no records. Other columns are not read. ``damage`` makes a replica:
     where it is ``changed`` the record's first byte of html is another one, where
     it is ``lost`` the record cannot be read; offsets stay those of the index.
     """
@@ -43,18 +46,18 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     whole = record(body)
     held = F.when(damage == "changed", record(F.concat(F.lit("\x00"), F.substr(body, F.lit(2))))).otherwise(whole)
     slim = pages.select(
-        F.floor(pages[id_col] / archive_pages).alias("archive"),
         pages[id_col].alias("page_id"),
         F.octet_length(whole).cast("long").alias("length"),
         F.sha2(whole, 256).alias("index_sha256"),
         F.when(F.coalesce(damage != "lost", F.lit(True)), F.sha2(held, 256)).alias("sha256"),
     )
-    order = Window.partitionBy("archive").orderBy("page_id", "index_sha256")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    placed = (
-        slim.withColumn("place", (F.row_number().over(order) - 1).cast("long"))
-        .withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
-    )
+    placed = sums_before(slim, [F.col("page_id").asc_nulls_first(), F.col("index_sha256")], number=F.lit(1))
+    number = F.col("number").cast("long")
+    placed = placed.withColumn("archive", F.expr(f"cast(number as bigint) div {archive_pages}"))
+    placed = placed.withColumn("place", F.pmod(number, F.lit(archive_pages)).cast("long"))
+    # an archive has no more rows than it has pages
+    before = Window.partitionBy("archive").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    placed = placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
     return placed.select("archive", "place", "offset", "length", "page_id", "sha256").where("sha256 IS NOT NULL")
 
 
@@ -99,7 +102,8 @@ def audit(index: DataFrame, replica: DataFrame, fan_out: int = FAN_OUT) -> DataF
     place. One row per damaged record: archive, place, offset, length,
     expected_sha256, found_sha256 and status: ``changed``, ``lost`` or ``extra``
     (the index does not know it; offset and length are then the replica's).
-    Replicas that agree, and empty ones on both sides, give no rows.
+    Replicas that agree, and empty ones on both sides, give no rows; records that
+    are alike but for their place are compared place by place.
     """
     leaves = [stored(side.select("archive", "place", "offset", "length", "sha256"), "leaves") for side in (index, replica)]
     last = max((side.agg(F.max("place")).first()[0] or 0) + 1 for side in leaves)
@@ -143,7 +147,7 @@ def sampled_damage(page_id: Column) -> Column:
 
 SQL = f"""
 WITH raw AS (
-  SELECT CAST(floor(page_id / {ARCHIVE_PAGES}) AS BIGINT) AS archive, page_id, coalesce(html, '') AS html,
+  SELECT page_id, coalesce(html, '') AS html,
          'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: '
            || coalesce(url, '') || chr(13) || chr(10) || 'WARC-Record-ID: ' || coalesce(CAST(page_id AS VARCHAR), '-')
            || chr(13) || chr(10) || 'Content-Length: ' || CAST(strlen(coalesce(html, '')) AS VARCHAR)
@@ -151,13 +155,13 @@ WITH raw AS (
          chr(13) || chr(10) || chr(13) || chr(10) AS tail,
          substr(md5(coalesce(CAST(page_id AS VARCHAR), '-')), 1, 2) AS mark
   FROM pages),
-hashed AS (SELECT archive, page_id, mark, CAST(strlen(head || html || tail) AS BIGINT) AS length,
+hashed AS (SELECT page_id, mark, CAST(strlen(head || html || tail) AS BIGINT) AS length,
                   sha256(head || html || tail) AS expected_sha256,
                   sha256(head || chr(0) || substr(html, 2) || tail) AS altered FROM raw),
-placed AS (SELECT *, row_number() OVER w - 1 AS place,
-                  CAST(coalesce(sum(length) OVER (PARTITION BY archive ORDER BY page_id, expected_sha256
-                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
-           FROM hashed WINDOW w AS (PARTITION BY archive ORDER BY page_id, expected_sha256))
+numbered AS (SELECT *, row_number() OVER (ORDER BY page_id NULLS FIRST, expected_sha256) - 1 AS number FROM hashed),
+cut AS (SELECT *, number // {ARCHIVE_PAGES} AS archive, number % {ARCHIVE_PAGES} AS place FROM numbered),
+placed AS (SELECT *, CAST(coalesce(sum(length) OVER (PARTITION BY archive ORDER BY place
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset" FROM cut)
 SELECT archive, place, "offset", length, expected_sha256,
        CASE WHEN mark = '00' THEN altered END AS found_sha256,
        CASE WHEN mark = '00' THEN 'changed' ELSE 'lost' END AS status
