@@ -13,23 +13,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.tables import join_salted
+from salesloom.llm.tables import join_counted
 from salesloom.session import stored
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, total: int) -> DataFrame:
     both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
         links.select(F.col("b").alias("u"), F.col("a").alias("v"))
     )
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    larger = join_salted(both.where("v > u"), least, "u", "v", "inner")
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    least = least.select("u", F.least("u", "m").alias("m"), "n")
+    larger = join_counted(both.where("v > u"), least, "u", "n", total)
     return larger.select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, total: int) -> DataFrame:
     """Every node hangs under smaller ones here: a > b."""
-    least = links.groupBy("a").agg(F.min("b").alias("m"))
-    moved = join_salted(links, least, "a", "b", "inner")
+    least = links.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    moved = join_counted(links, least, "a", "n", total)
     return (
         moved.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         .unionByName(least.select("a", F.col("m").alias("b")))
@@ -49,6 +50,7 @@ def components(links: DataFrame) -> DataFrame:
     now = stored(links.where("a <> b").select("a", "b"), "links")
     before = None
     while before != (before := state(now)):
-        now = stored(_small_star(_large_star(now)), "links")
+        total = 2 * before[0]  # rows of links read in both directions; later links are no more
+        now = stored(_small_star(_large_star(now, total), total), "links")
     roots = now.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("root"))
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from salesloom.llm.components import components
-from salesloom.llm.tables import ids_and_texts, join_salted
+from salesloom.llm.tables import ids_and_texts, join_counted
 from salesloom.session import stored
 
 RADIUS = 3
@@ -172,8 +172,9 @@ def shards(points: DataFrame, forest: Forest) -> DataFrame:
 def cells(rows: DataFrame, cell: int = CELL) -> DataFrame:
     """Shards as units of work: one cell, or a cell for each pair of chunks of a large shard."""
     sizes = rows.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > cell)
-    sizes = sizes.select("shard", F.ceil(F.col("n") / cell).cast("int").alias("chunks"))
-    dealt = join_salted(rows, sizes, "shard", "fp")
+    sizes = stored(sizes.select("shard", "n", F.ceil(F.col("n") / cell).cast("int").alias("chunks")), "large-shards")
+    large = sizes.agg(F.sum("n")).first()[0] or 0
+    dealt = join_counted(rows, sizes, "shard", "n", large, "left")
     chunk = F.pmod(F.xxhash64(F.lit("chunk"), F.col("fp")), F.col("chunks")).cast("int")
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("chunks") - 1),
@@ -305,13 +306,15 @@ def near_groups(
     points = stored(
         prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")), "points"
     )
-    roots = components(links(points.select("fp"), forest or Forest.for_points(points.count())))
-    linked = points.select("fp", "first_id").join(roots.select(F.col("node").alias("fp"), "root"), "fp")
-    least = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    linked = join_salted(linked.select("fp", "root"), least, "root", "fp", "inner").select("fp", "component_id")
+    n_points, n_docs = points.agg(F.count("*"), F.sum("n")).first()
+    roots = components(links(points.select("fp"), forest or Forest.for_points(n_points)))
+    linked = points.join(roots.select(F.col("node").alias("fp"), "root"), "fp")
+    least = linked.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count("*").alias("points"))
+    linked = join_counted(linked.select("fp", "root", "n"), least, "root", "points", n_points)
+    linked = stored(linked.select("fp", "component_id", "n"), "linked")
     # a point of one document that no link reaches needs no look-up
-    shared = points.where("n > 1").join(linked, "fp", "left_anti").select("fp", F.col("first_id").alias("component_id"))
-    found = join_salted(prints, linked.unionByName(shared), "fp", "doc_id")
+    shared = points.where("n > 1").join(linked, "fp", "left_anti").select("fp", F.col("first_id").alias("component_id"), "n")
+    found = join_counted(prints, linked.unionByName(shared), "fp", "n", n_docs or 0, "left")
     return found.select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -336,13 +339,15 @@ def drop_near_copies(
     text = F.coalesce(docs[text_col], F.lit(""))
     prints = docs.select(docs[id_col].alias("doc_id"), digest.alias("digest"), _fingerprints(text, shingle).alias("fp"))
     prints = stored(prints, "row-fingerprints")
-    points = stored(prints.select("fp").distinct(), "points")
-    roots = components(links(points, Forest.for_points(points.count(), radius)))
-    rooted = join_salted(prints, roots.select(F.col("node").alias("fp"), "root"), "fp", "digest")
+    points = stored(prints.groupBy("fp").agg(F.count("*").alias("n")), "points")
+    n_points, n_docs = points.agg(F.count("*"), F.sum("n")).first()
+    roots = components(links(points.select("fp"), Forest.for_points(n_points, radius)))
+    roots = points.join(roots.select(F.col("node").alias("fp"), "root"), "fp")
+    rooted = join_counted(prints, roots, "fp", "n", n_docs or 0, "left")
     texts = rooted.groupBy("doc_id", "digest", F.coalesce("root", "fp").alias("root")).agg(F.count("*").alias("n"))
     row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")
     shared = texts.groupBy("root").agg(F.min(row).alias("first"), F.sum("n").alias("rows")).where("rows > 1")
-    judged = join_salted(texts, shared.select("root", "first"), "root", "digest", "inner")
+    judged = join_counted(texts, shared, "root", "rows", n_docs or 0)
     judged = judged.select("doc_id", "digest", "n", (row == F.col("first")).alias("stays"))
     judged = stored(judged.where("NOT stays OR n > 1"), "near-copies")
 

@@ -64,4 +64,4 @@ def test_every_stage_takes_awkward_tables(spark):
 def test_registered():
     names = {*QUERIES, "pipeline"}
     assert names <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
