@@ -256,6 +256,9 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     both classes scores mean nothing, but are given. Null and empty texts get
     the score of a text without words. Repeated rows score alike; an empty table
     gives no rows. ``lang``, ``source`` and other columns are not read.
+
+    Learned from at most ``SAMPLE_PER_CLASS`` texts of each label, of at most
+    ``SAMPLE_CHARS`` characters; every text is scored whole, however long.
     """
     rows = ids_and_texts(docs, id_col, text_col)
     scorer, cuts = train(rows, labels)

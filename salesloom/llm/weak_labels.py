@@ -208,6 +208,10 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limi
     that it is 0.5 or more. Null and empty texts are voted junk by the labeller of words.
     Where classes tie a document is kept. Repeated rows count in the estimate
     and are scored alike. An empty table gives no rows. Other columns are not read.
+
+    The estimate takes all documents; the scorer learns from at most ``limit``
+    texts of at most ``SAMPLE_FEATURES`` features. Every text is voted on and
+    scored whole, however long.
     """
     rows = ids_and_texts(docs, id_col, text_col)
     counts = {r["votes"]: r["n"] for r in rows.groupBy(_votes("text").alias("votes")).agg(F.count("*").alias("n")).collect()}
