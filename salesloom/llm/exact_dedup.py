@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.llm.tables import ids_and_texts
+from salesloom.operators.joining import broadcast_if_small
 from salesloom.session import stored
 
 ENTRY = ["digest", "n_chars", "other_hash"]
@@ -109,14 +110,15 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """The documents that stay, with all their columns.
 
     Of rows that repeat both id and text one stays, whichever Spark meets first;
-    null text is empty text. What goes is stored as ids and digests, so that texts
-    are not moved while that is small enough to broadcast.
+    null text is empty text. What goes is stored as ids and digests, and texts stay
+    where they are while that is no more than a broadcast may be; beyond it they are
+    shuffled once.
     """
     found = verdicts(docs, id_col, text_col, RUNS).where("group_size > 1")
     pairs = found.groupBy("doc_id", "digest").agg(
         F.count("*").alias("n"), F.count(F.when(F.col("kept"), 1)).alias("kept")
     )
-    gone = stored(pairs.where("n > kept"), "exact-copies")
+    gone = broadcast_if_small(stored(pairs.where("n > kept"), "exact-copies"))
     digest = text_digest(docs[text_col])
 
     def same(verdicts):

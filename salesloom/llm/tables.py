@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from salesloom.session import stored
 
 SALTS = 16
-FREQUENT_KEYS = 2000
 
 
 def corpus_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,21 +38,6 @@ def join_salted(
     return dealt.join(copies, [key, "_salt"], how).drop("_salt")
 
 
-def join_counted(rows: DataFrame, lookup: DataFrame, key: str, n: str, total: int, how: str = "inner") -> DataFrame:
-    """Join ``lookup``, unique by ``key``, whose column ``n`` says how many rows have the key.
-
-    Keys with more than a ``FREQUENT_KEYS``-th of the ``total`` are fewer than that,
-    and are broadcast; of all others no one makes a large group, and they are
-    shuffled as they are. ``n`` is not part of the result.
-    """
-    least = F.lit(total / FREQUENT_KEYS)
-    often = F.broadcast(lookup.where(F.col(n) > least).drop(n))
-    seldom = lookup.where(F.col(n) <= least).drop(n)
-    return rows.join(often, key).unionByName(
-        rows.join(often.select(key), key, "left_anti").join(seldom, key, how)
-    )
-
-
 def sums_before(rows: DataFrame, order: list[Column], **numbers: Column) -> DataFrame:
     """Rows with, for each number, its sum over all rows that come before in an order.
 
