@@ -333,12 +333,24 @@ def drop_near_copies(
     text, so a null or repeated id takes no other text with it. Of rows that
     repeat both, one stays, whichever Spark meets first. Null text is empty text.
     """
-    digest = F.unhex(F.sha2(F.coalesce(docs[text_col], F.lit("")), 256))
     text = F.coalesce(docs[text_col], F.lit(""))
+    digest = F.unhex(F.sha2(text, 256))
     prints = docs.select(docs[id_col].alias("doc_id"), digest.alias("digest"), _fingerprints(text, shingle).alias("fp"))
     prints = stored(prints, "row-fingerprints")
     points = stored(prints.select("fp").distinct(), "points")
     roots = components(links(points, Forest.for_points(points.count(), radius)))
+    return one_row_of_each(docs, prints, roots, id_col, text_col)
+
+
+def one_row_of_each(
+    docs: DataFrame, prints: DataFrame, roots: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row of every group, as ``drop_near_copies`` has it.
+
+    ``prints`` has the doc_id, the SHA-256 ``digest`` of the text and the point ``fp``
+    of every row; ``roots`` the ``root`` of every point (``node``) that is linked.
+    """
+    digest = F.unhex(F.sha2(F.coalesce(docs[text_col], F.lit("")), 256))
     rooted = join_salted(prints, roots.select(F.col("node").alias("fp"), "root"), "fp", "digest")
     texts = rooted.groupBy("doc_id", "digest", F.coalesce("root", "fp").alias("root")).agg(F.count("*").alias("n"))
     row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")

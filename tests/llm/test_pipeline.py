@@ -7,7 +7,8 @@ from collections import defaultdict
 import corpus_pipeline
 import duckdb
 import pytest
-from llm.corpus import FOLDER, edge, nothing, slow_components, slow_fingerprint
+from llm.corpus import FOLDER, edge, nothing, slow_components
+from llm.test_near_texts import slow_jaccard, slow_set
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
@@ -25,7 +26,7 @@ def slow_pipeline(folder):
         last[docs[doc_id][1]] = doc_id
     docs = {i: docs[i] for i in sorted(last.values())}
     order = sorted(docs)
-    labels = slow_components([slow_fingerprint(docs[i][1]) for i in order], lambda a, b: bin(a ^ b).count("1") <= 3)
+    labels = slow_components([slow_set(docs[i][1]) for i in order], lambda a, b: slow_jaccard(a, b) >= 0.8)
     first = defaultdict(list)
     for i, label in zip(order, labels, strict=True):
         first[label].append(i)
