@@ -1,4 +1,4 @@
-"""Near copies by SimHash sketches, verified on the texts.
+"""Near copies by SimHash sketches, verified on the texts, and an exact search for what sketches miss.
 
 Fingerprints of 64 bits that differ by 3 (``simhash``) miss most texts that
 share four fifths of their shingles: such fingerprints differ by 10 bits, give or
@@ -15,6 +15,12 @@ share of shingles shows as a share of differing bits with little spread.
    of all pairs. Such a forest joins what all pairs would join at every distance,
    so a group of any size gives fewer links than it has texts.
 3. Both texts of a link are compared, and links below the similarity go.
+4. An exact search adds the links between the groups found so far (``missed_pairs``):
+   texts that share four fifths of their shingles share one of the first fifth of
+   these, in any order that all texts have in common. Pairs inside a group are not
+   listed, so large groups cost little, and no pair at the similarity is lost,
+   whatever the sketches did. The order has frequent shingles last, by their counts
+   in a bounded sample of texts; another order would cost time, but no pair.
 """
 
 from __future__ import annotations
@@ -32,7 +38,8 @@ from pyspark.sql.types import BinaryType, DoubleType
 
 from salesloom.llm.components import components
 from salesloom.llm.simhash import SEED, Union, cells, one_row_of_each
-from salesloom.operators.joining import broadcast_if_small
+from salesloom.llm.tables import join_salted
+from salesloom.operators.joining import broadcast_if_small, is_small
 from salesloom.session import stored
 
 SHINGLE = 5
@@ -43,6 +50,10 @@ BITS = 256
 CROWD = 512  # texts of a shard, about
 CELL = 1024  # texts of a chunk; a task compares two chunks
 KEY = 16  # bytes of the digest that name a text
+TREES = 6  # of the forest that an exact search follows
+SAMPLED = 20_000  # texts, about, whose shingles are counted for the order of all
+FREQUENT = 1 << 15  # shingles that the order tells apart by their counts
+PAIRS = 1 << 20  # pairs that a task lists at a time
 
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 _PLACES = np.arange(8) * 256
@@ -71,7 +82,10 @@ def shingles(text: str, size: int = SHINGLE) -> np.ndarray:
 
 
 def sketch(text: str, size: int = SHINGLE) -> bytes:
-    hashes = shingles(text, size)
+    return sketch_of(shingles(text, size))
+
+
+def sketch_of(hashes: np.ndarray) -> bytes:
     parts = []
     for part in range(BITS // 64):
         hashes = _mixed(hashes + _STEP)
@@ -122,6 +136,12 @@ class Grove:
         met = (1 - differ) ** measured
         return Grove(measured, 1 if met == 1 else ceil(log(MISSED) / log(1 - met)), radius)
 
+    @staticmethod
+    def for_groups(n: int, similarity: float = SIMILARITY) -> Grove:
+        """Few trees however many texts there are, for groups that an exact search completes."""
+        grove = Grove.for_texts(n, similarity)
+        return Grove(grove.measured, min(TREES, grove.trees), grove.radius)
+
     def masks(self) -> np.ndarray:
         chance, masks = np.random.default_rng(SEED), np.zeros((self.trees, BITS), np.uint8)
         for mask in masks:
@@ -238,6 +258,11 @@ def similar_links(
 ) -> DataFrame:
     """Links (a, b) between keys of texts of at least the similarity, compared on the whole texts."""
     found = stored(candidates(points, grove or Grove.for_texts(points.count(), similarity)), "candidates")
+    return _verified(found, docs, text_col, similarity, size)
+
+
+def _verified(found: DataFrame, docs: DataFrame, text_col: str, similarity: float, size: int) -> DataFrame:
+    """The stored pairs (a, b) of keys whose texts have at least the similarity."""
     ends = found.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     text = F.coalesce(docs[text_col], F.lit(""))
     texts = docs.select(_key(text).alias("key"), text.alias("text"))
@@ -248,6 +273,155 @@ def similar_links(
     return pairs.where(_similarity(F.col("one"), F.col("other"), size) >= similarity).select("a", "b")
 
 
+def frequent_shingles(texts: DataFrame, size: int = SHINGLE, sampled: int = SAMPLED) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes and counts of the most frequent shingles in a sample of ``texts`` (columns text, key)."""
+    n = texts.count()
+    share = min(1.0, sampled / max(n, 1))
+    some = texts.where(F.pmod(F.xxhash64(F.lit("sample"), F.col("key")), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for start in range(0, len(batch), 256):
+                found = np.concatenate([shingles(t, size) for t in batch["text"].iloc[start : start + 256]])
+                yield pd.DataFrame({"shingle": found.view(np.int64)})
+
+    counts = some.select("text").mapInPandas(run, "shingle long").groupBy("shingle").agg(F.count("*").alias("n"))
+    found = counts.where("n > 2").orderBy(F.desc("n"), "shingle").limit(FREQUENT).toPandas()
+    hashes = found["shingle"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], found["n"].to_numpy(np.int64)[order]
+
+
+def prefix(hashes: np.ndarray, similarity: float, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first of a text's shingles, frequent ones last: texts of at least the similarity share one of them."""
+    n = len(hashes)
+    if not n:
+        return hashes
+    known, counts = frequent
+    rank = np.zeros(n, np.int64)
+    if len(known):
+        place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+        rank = np.where(known[place] == hashes, counts[place], 0)
+    length = n - max(1, ceil(similarity * n - 1e-9)) + 1
+    return hashes[np.lexsort((hashes, rank))[:length]]
+
+
+def _sketched(text, similarity: float, size: int, frequent: tuple[np.ndarray, np.ndarray]):
+    """A text's sketch, its number of distinct shingles, and the first of these as bytes."""
+    @F.pandas_udf("sketch binary, size int, first binary")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            found = []
+            for one in texts:
+                hashes = shingles(one, size)
+                found.append((sketch_of(hashes), len(hashes), prefix(hashes, similarity, frequent).tobytes()))
+            yield pd.DataFrame(found, columns=["sketch", "size", "first"])
+
+    return run(text)
+
+
+def _dealer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A row for each of the first shingles of a text."""
+    for batch in batches:
+        if batch.empty:
+            continue
+        lengths = batch["first"].str.len().to_numpy() // 8
+        starts = np.cumsum(lengths) - lengths
+        yield pd.DataFrame({
+            "shingle": np.frombuffer(b"".join(batch["first"]), np.int64),
+            "number": np.repeat(batch["number"].to_numpy(), lengths),
+            "grp": np.repeat(batch["grp"].to_numpy(), lengths),
+            "size": np.repeat(batch["size"].to_numpy(), lengths),
+            "place": (np.arange(lengths.sum()) - np.repeat(starts, lengths)).astype(np.int32),
+        })
+
+
+def _may_reach(size_a, size_b, place_a, place_b, similarity: float) -> np.ndarray:
+    """Whether texts can have the similarity whose first common shingle is at these places of their orders."""
+    need = np.ceil(similarity / (1 + similarity) * (size_a + size_b) - 1e-6)
+    return np.minimum(size_a - place_a, size_b - place_b) >= need
+
+
+def _meetings(frame: pd.DataFrame, similarity: float) -> Iterator[pd.DataFrame]:
+    """Pairs of texts of different groups that meet at a shingle, of a frame sorted by it."""
+    shingle, number, grp = (frame[c].to_numpy() for c in ("shingle", "number", "grp"))
+    size, place = frame["size"].to_numpy(np.int64), frame["place"].to_numpy(np.int64)
+    starts = np.flatnonzero(np.concatenate(([True], shingle[1:] != shingle[:-1])))
+    sizes = np.diff(np.concatenate((starts, [len(shingle)])))
+
+    def pairs(i, j):
+        apart = (grp[i] != grp[j]) & _may_reach(size[i], size[j], place[i], place[j], similarity)
+        a, b = number[i[apart]], number[j[apart]]
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+
+    left = np.repeat(starts + sizes, sizes)  # end of the bucket of each row
+    small = np.repeat(sizes <= 64, sizes)
+    at, step = np.flatnonzero(small), 1
+    while len(at := at[at + step < left[at]]):
+        yield pairs(at, at + step)
+        step += 1
+    for start, n in zip(starts[sizes > 64].tolist(), sizes[sizes > 64].tolist(), strict=True):
+        if (grp[start : start + n] == grp[start]).all():
+            continue
+        rows = max(1, PAIRS // n)
+        for i in range(start, start + n, rows):
+            own, others = np.arange(i, min(i + rows, start + n)), np.arange(i, start + n)
+            x, y = (side.ravel() for side in np.meshgrid(own, others, indexing="ij"))
+            yield pairs(x[x < y], y[x < y])
+
+
+def _meeter(similarity: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts: list[pd.DataFrame] = []  # rows of the shingle that the next batch may go on with
+        for batch in batches:
+            if batch.empty:
+                continue
+            last = batch["shingle"].iloc[-1]
+            if parts and batch["shingle"].iloc[0] == last and parts[-1]["shingle"].iloc[-1] == last:
+                parts.append(batch)
+                continue
+            ends = batch["shingle"] == last
+            yield from _meetings(pd.concat((*parts, batch[~ends]), ignore_index=True), similarity)
+            parts = [batch[ends]]
+        if parts:
+            yield from _meetings(pd.concat(parts, ignore_index=True), similarity)
+
+    return run
+
+
+def missed_pairs(rows: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of numbers of rows in different groups, with all that have at least the similarity.
+
+    ``rows`` has number, fp, digest, size and first; ``roots`` the group of each
+    fp that has one. A pair of the similarity shares one of its first shingles;
+    at the one that is first of all, neither text has too few left. A shingle's
+    texts meet in one task, which lists pairs of different groups piece by piece.
+    Texts without words have no shingles; they have one sketch, and so one group.
+    """
+    groups = stored(roots.select(F.col("node").alias("fp"), F.xxhash64("root").alias("grp")), "groups")
+    rows = rows.select("number", "fp", "digest", "size", "first")
+    rows = rows.join(F.broadcast(groups), "fp", "left") if is_small(groups) else join_salted(rows, groups, "fp", "digest")
+    rows = rows.select("number", F.coalesce("grp", "number").alias("grp"), "size", "first")
+    dealt = rows.mapInPandas(_dealer, "shingle long, number long, grp long, size int, place int")
+    dealt = dealt.repartition("shingle").sortWithinPartitions("shingle")
+    return dealt.mapInPandas(_meeter(similarity), "a long, b long").distinct()
+
+
+def missed_links(
+    docs: DataFrame, rows: DataFrame, roots: DataFrame, text_col: str, similarity: float, size: int
+) -> DataFrame:
+    """Links (a, b) between keys of texts of different groups: all that have at least the similarity."""
+    found = stored(missed_pairs(rows, roots, similarity), "missed")
+    ends = stored(found.select(F.explode(F.array("a", "b")).alias("number")).distinct(), "missed-numbers")
+    keys = stored(rows.select("number", "fp").join(broadcast_if_small(ends), "number"), "missed-keys")
+    pairs = found.join(keys.select(F.col("number").alias("a"), F.col("fp").alias("one")), "a")
+    pairs = pairs.join(keys.select(F.col("number").alias("b"), F.col("fp").alias("other")), "b")
+    pairs = pairs.select(F.least("one", "other").alias("a"), F.greatest("one", "other").alias("b")).distinct()
+    return _verified(stored(pairs, "missed-pairs"), docs, text_col, similarity, size)
+
+
+
+
 def _key(text):
     return F.substring(F.unhex(F.sha2(text, 256)), 1, KEY)
 
@@ -260,9 +434,9 @@ def drop_similar(
 
     Texts are linked when they share at least ``similarity`` of their distinct
     runs of ``size`` words (A-Z lowered; fewer words: the whole run); a group is
-    what links reach. Which pairs are compared is up to the sketches: a pair
-    just at the similarity is missed with odds of a few in a hundred, and no pair
-    below it is linked.
+    what links reach. Sketches find most links; an exact search then finds all
+    that join different groups of these, so no pair at the similarity is lost, and
+    no pair below it is linked.
 
     The row with the smallest id stays, of several texts under that id the one
     with the smallest SHA-256; null ids come last. Null text is empty text; texts
@@ -272,9 +446,15 @@ def drop_similar(
     """
     text = F.coalesce(docs[text_col], F.lit(""))
     digest = F.unhex(F.sha2(text, 256))
-    rows = docs.select(docs[id_col].alias("doc_id"), digest.alias("digest"), _sketches(text, size).alias("sketch"))
-    rows = stored(rows, "row-sketches")
+    frequent = frequent_shingles(docs.select(text.alias("text"), _key(text).alias("key")), size)
+    seen = _sketched(text, similarity, size, frequent).alias("seen")
+    rows = docs.select(docs[id_col].alias("doc_id"), digest.alias("digest"), seen)
+    rows = stored(rows.select("doc_id", "digest", "seen.*", F.monotonically_increasing_id().alias("number")), "row-sketches")
     points = rows.select(F.concat("sketch", F.substring("digest", 1, KEY)).alias("fp")).distinct()
-    links = similar_links(docs, stored(points, "points"), text_col, similarity, size)
-    rows = rows.select("doc_id", "digest", F.substring("digest", 1, KEY).alias("fp"))
-    return one_row_of_each(docs, rows, components(links), id_col, text_col)
+    points = stored(points, "points")
+    links = similar_links(docs, points, text_col, similarity, size, Grove.for_groups(points.count(), similarity))
+    roots = components(links)
+    rows = rows.withColumn("fp", F.substring("digest", 1, KEY))
+    more = missed_links(docs, rows, roots, text_col, similarity, size)
+    roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+    return one_row_of_each(docs, rows.select("doc_id", "digest", "fp"), roots, id_col, text_col)

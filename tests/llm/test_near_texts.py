@@ -4,6 +4,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pytest
 from llm.corpus import edge, given_docs, nothing, slow_components, words
 from pyspark.sql import functions as F
@@ -127,3 +128,57 @@ def test_rows_are_dropped_by_text_and_not_by_id_alone(spark):
     assert sorted((r for r in kept if r not in empty), key=str) == sorted(
         [(1, first), (None, other), (7, third), (8, far)], key=str
     )
+
+
+def test_pairs_whose_sketches_lie_beyond_the_radius_are_found(spark):
+    chance, radius, rows = random.Random(5), Grove.for_texts(100).radius, []
+
+    def bits(a, b):
+        return (int.from_bytes(sketch(a)) ^ int.from_bytes(sketch(b))).bit_count()
+
+    pairs = [family(chance, 1, 0.015) for _ in range(1500)]  # texts of 200 words
+    short = [" ".join(f"w{chance.randrange(5000)}" for _ in range(n)) for n in range(8, 15) for _ in range(200)]
+    pairs += [[text, text + " end"] for text in short]
+    for a, b in pairs:
+        if slow_jaccard(slow_set(a), slow_set(b)) >= 0.8 and bits(a, b) > radius:
+            rows += [(len(rows), a), (len(rows) + 1, b)]
+    assert len(rows) > 10
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in drop_similar(docs).collect()) == list(range(0, len(rows), 2))
+
+
+def test_exact_search_alone_finds_the_groups_of_all_pairs(spark):
+    chance = random.Random(6)
+    common = " ".join(f"c{i}" for i in range(120))
+    texts = [t for _ in range(30) for t in family(chance, 4, 0.012, 90)] + family(chance, 150, 0.008, 90)
+    texts += [f"{common} {' '.join(f'w{chance.randrange(9000)}' for _ in range(n))}" for n in range(5, 60) for _ in range(3)]
+    texts += [" ".join("ab"[chance.randrange(2)] for _ in range(n)) for n in range(1, 13) for _ in range(6)]
+    texts = [*dict.fromkeys(texts)]
+    chance.shuffle(texts)
+    sets = [slow_set(t) for t in texts]
+    want = slow_components(range(len(sets)), lambda i, j: slow_jaccard(sets[i], sets[j]) >= 0.8)
+    frequent = near_texts.frequent_shingles(
+        spark.createDataFrame(list(enumerate(texts)), "key long, text string").select(F.col("key").cast("string"), "text")
+    )
+    for order in (frequent, (np.empty(0, np.uint64), np.empty(0, np.int64))):
+        docs = spark.createDataFrame(list(enumerate(texts)), "number long, text string")
+        seen = near_texts._sketched(F.col("text"), 0.8, 5, order).alias("seen")
+        rows = docs.select("number", near_texts._key(F.col("text")).alias("fp"), F.sha("text").alias("digest"), seen)
+        rows = rows.select("number", "fp", "digest", "seen.*")
+        none = spark.createDataFrame([], "node binary, root binary")
+        found = near_texts.missed_pairs(rows, none, 0.8).collect()
+        linked = {(r.a, r.b) for r in found if slow_jaccard(sets[r.a], sets[r.b]) >= 0.8}
+        assert slow_components(range(len(sets)), lambda i, j, linked=linked: (min(i, j), max(i, j)) in linked) == want
+        both = {(i, j) for i, j in combinations(range(len(sets)), 2) if slow_jaccard(sets[i], sets[j]) >= 0.8}
+        assert linked == both
+
+
+def test_large_meetings_are_listed_in_pieces(monkeypatch):
+    monkeypatch.setattr(near_texts, "PAIRS", 1000)
+    n = 300
+    frame = pd.DataFrame({"shingle": 7, "number": np.arange(n), "grp": np.arange(n) // 2, "size": 10, "place": 0})
+    pieces = [*near_texts._meeter(0.8)(frame.iloc[i : i + 70] for i in range(0, n, 70))]
+    assert max(map(len, pieces)) <= 1000
+    assert {(a, b) for p in pieces for a, b in zip(p["a"], p["b"], strict=True)} == {
+        (a, b) for a, b in combinations(range(n), 2) if a // 2 != b // 2
+    }
