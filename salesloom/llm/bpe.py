@@ -17,17 +17,16 @@ import hashlib
 import heapq
 import json
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable
 from functools import cache
 
-import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.llm.tables import ids_and_texts
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 100_000  # a worker remembers as many words, and those it met in the same number before
 
 
 def byte_letters() -> list[str]:
@@ -56,7 +55,9 @@ class Bpe:
         self.words = regex.compile(pattern).findall
         letters = byte_letters()
         self.letters = {b: letters[b] for b in range(256)}
-        self.known: dict[str, array] = {}
+        # ids of words as bytes, which take less than half of an array's room
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merge(self, symbols: list[str]) -> list[str]:
         """The symbols after all merges, always the lowest rank and then the leftmost first."""
@@ -87,15 +88,18 @@ class Bpe:
                     heapq.heappush(queue, (ranks[pair], h, *pair))
         return [s for s in alive if s]
 
-    def word(self, word: str) -> array:
+    def word(self, word: str) -> bytes:
+        """The ids of a word as the bytes of an array."""
         ids = self.known.get(word)
         if ids is None:
-            symbols = [self.letters[b] for b in word.encode()]
-            symbols[-1] += self.suffix
-            vocab = self.vocab
-            ids = array("I", [vocab[s] for s in self.merge(symbols)])
+            ids = self.older.get(word)
+            if ids is None:
+                symbols = [self.letters[b] for b in word.encode()]
+                symbols[-1] += self.suffix
+                vocab = self.vocab
+                ids = array("I", [vocab[s] for s in self.merge(symbols)]).tobytes()
             if len(self.known) >= CACHED_WORDS:
-                self.known.clear()
+                self.known, self.older = {}, self.known
             self.known[word] = ids
         return ids
 
@@ -111,7 +115,7 @@ class Bpe:
                 ids.append(self.special[piece])
             elif piece:
                 for word in self.words(self.normal(piece)):
-                    ids.extend(self.word(word))
+                    ids.frombytes(self.word(word))
         return ids
 
     def decode(self, ids) -> str:
@@ -144,17 +148,12 @@ def encoded(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col:
     goes to the tasks. Null and empty texts have no ids and decode to an empty
     text. Repeated rows give repeated rows, an empty table none.
     """
-    content = docs.sparkSession.sparkContext.broadcast(_read(vocabulary))
 
-    @F.pandas_udf("ids array<int>, decoded string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        bpe = tokenizer(content.value)
-        for texts in batches:
-            ids = [bpe.encode(t) for t in texts]
-            yield pd.DataFrame({"ids": [list(i) for i in ids], "decoded": [bpe.decode(i) for i in ids]})
+    def both(bpe: Bpe, text: str) -> tuple[list[int], str]:
+        ids = bpe.encode(text)
+        return ids.tolist(), bpe.decode(ids)
 
-    rows = ids_and_texts(docs, id_col, text_col)
-    return rows.select("doc_id", run("text").alias("r")).select("doc_id", "r.*")
+    return _each(docs, vocabulary, id_col, text_col, both, "ids array<int>, decoded string")
 
 
 def digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -163,18 +162,29 @@ def digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col:
     ``n_tokens``, ``ids_sha256`` (ids as little-endian unsigned 32-bit integers)
     and ``decoded_sha256`` (UTF-8).
     """
+
+    def short(bpe: Bpe, text: str) -> tuple[int, str, str]:
+        ids = bpe.encode(text)
+        data = ids.tobytes() if little_endian else bytes_swapped(ids)
+        return len(ids), sha(data), sha(bpe.decode(ids).encode())
+
+    return _each(docs, vocabulary, id_col, text_col, short, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def _each(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, found: Callable, layout: str) -> DataFrame:
+    """``doc_id`` and what ``found`` makes of every text.
+
+    Texts go to Python a hundred at a time: an Arrow batch would hold ten
+    thousand whole texts, in the executor and again in each of its workers.
+    """
     content = docs.sparkSession.sparkContext.broadcast(_read(vocabulary))
+    bpe: list[Bpe] = []  # the tokenizer, once the task has its first text
 
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        bpe = tokenizer(content.value)
-        for texts in batches:
-            rows = []
-            for text in texts:
-                ids = bpe.encode(text)
-                data = ids.tobytes() if little_endian else bytes_swapped(ids)
-                rows.append((len(ids), sha(data), sha(bpe.decode(ids).encode())))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+    @F.udf(layout, useArrow=False)
+    def run(text: str):
+        if not bpe:
+            bpe.append(tokenizer(content.value))
+        return found(bpe[0], text)
 
     rows = ids_and_texts(docs, id_col, text_col)
     return rows.select("doc_id", run("text").alias("r")).select("doc_id", "r.*")

@@ -57,3 +57,14 @@ def test_edges(spark):
     assert list(whole[4].ids) == theirs.encode("x y z", add_special_tokens=False).ids
     assert whole[2].ids == [] and whole[2].decoded == ""
     assert bpe.digests(nothing(spark), word_vocabulary()).count() == 0
+
+
+def test_texts_reach_python_in_small_batches_and_few_words_are_remembered(spark, monkeypatch):
+    for run in (bpe.digests, bpe.encoded):
+        plan = run(edge(spark), word_vocabulary())._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 5)
+    ours = bpe.Bpe(bpe._read(word_vocabulary()))
+    for text in ["a b c d e f g h", "a a b i j k l m n o p q a"]:
+        assert list(ours.encode(text)) == library().encode(text, add_special_tokens=False).ids
+    assert len(ours.known) <= 5 and len(ours.older) <= 5
