@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 import salesloom.plans.daily as daily
 from salesloom.checks.landing import land, whole_rows
+from salesloom.checks.sources import amounts_kept_or_refused
 from salesloom.plans import ANSWERS, Answer
 from salesloom.schemas import LAYOUT, columns, enforce, schema
 from salesloom.session import fresh_folder, shared_folder
@@ -601,3 +602,20 @@ def test_layout_matches_schema():
         assert [f.name for f in schema(name)] == [c for c, _ in columns(name)]
     assert {k for name in LAYOUT for _, k in columns(name)} == {"key", "int", "money", "rate", "text", "date"}
     assert F
+
+
+def test_amounts_are_stored_field_by_field(spark, tmp_path):
+    spark.sql(
+        "SELECT 1L AS l_orderkey, 2L AS l_partkey, 3L AS l_suppkey, n AS l_linenumber, 5D AS l_quantity,"
+        " 10.25D AS l_extendedprice, 0.05D AS l_discount, 0.01D AS l_tax, 'R' AS l_returnflag, 'F' AS l_linestatus,"
+        " timestamp'1997-01-02' AS l_shipdate FROM (SELECT explode(sequence(1, 4)) AS n)"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = amounts_kept_or_refused(GivenTables(spark, str(tmp_path)))
+    assert sorted(map(tuple, found.collect()), key=lambda row: row[1]) == [
+        (1, 1, 10.255, 0.05, "l_shipdate"),
+        (1, 2, 12345678911.25, 0.05, ""),
+        (1, 3, 10.25, 250.0, ""),
+        (1, 4, None, 0.05, "l_extendedprice"),
+    ]
+    used = "ReadSchema: struct<l_orderkey:string,l_linenumber:string,l_extendedprice:string,l_discount:string>"
+    assert "fields:array" not in plan(found) and used in plan(found)
