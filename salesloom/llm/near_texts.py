@@ -21,6 +21,10 @@ share of shingles shows as a share of differing bits with little spread.
    listed, so large groups cost little, and no pair at the similarity is lost,
    whatever the sketches did. The order has frequent shingles last, by their counts
    in a bounded sample of texts; another order would cost time, but no pair.
+5. Texts that meet so share a passage, and mostly no more. Only those that meet a text
+   of another group take part in a second meeting, with a bitmap of all their shingles:
+   two bitmaps differ in no more bits than the texts differ in shingles, so a pair that
+   differs in more than the similarity allows is never listed.
 """
 
 from __future__ import annotations
@@ -54,6 +58,10 @@ TREES = 6  # of the forest that an exact search follows
 SAMPLED = 20_000  # texts, about, whose shingles are counted for the order of all
 FREQUENT = 1 << 15  # shingles that the order tells apart by their counts
 PAIRS = 1 << 20  # pairs that a task lists at a time
+BITMAP = 256, 1 << 13  # least and most bits of a text's bitmap
+PIECE = 1 << 24  # bytes of bitmaps that a task compares at a time
+
+DEALT = "shingle long, number long, grp long, size int, place int"
 
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 _PLACES = np.arange(8) * 256
@@ -95,6 +103,14 @@ def sketch_of(hashes: np.ndarray) -> bytes:
     return np.array(parts, np.uint64).tobytes()
 
 
+def bitmap_of(hashes: np.ndarray) -> bytes:
+    """Whether the number of shingles is odd in each of about as many buckets of their hashes."""
+    least, most = BITMAP
+    bits = min(most, max(least, 1 << max(0, len(hashes) - 1).bit_length()))
+    counts = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
 def jaccard(a: str, b: str, size: int = SHINGLE) -> float:
     """Shared share of the distinct shingles; texts without words are alike."""
     one, other = shingles(a, size), shingles(b, size)
@@ -307,15 +323,16 @@ def prefix(hashes: np.ndarray, similarity: float, frequent: tuple[np.ndarray, np
 
 
 def _sketched(text, similarity: float, size: int, frequent: tuple[np.ndarray, np.ndarray]):
-    """A text's sketch, its number of distinct shingles, and the first of these as bytes."""
-    @F.pandas_udf("sketch binary, size int, first binary")
+    """A text's sketch, its number of distinct shingles, the first of these as bytes, and their bitmap."""
+    @F.pandas_udf("sketch binary, size int, first binary, bitmap binary")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             found = []
             for one in texts:
                 hashes = shingles(one, size)
-                found.append((sketch_of(hashes), len(hashes), prefix(hashes, similarity, frequent).tobytes()))
-            yield pd.DataFrame(found, columns=["sketch", "size", "first"])
+                first = prefix(hashes, similarity, frequent).tobytes()
+                found.append((sketch_of(hashes), len(hashes), first, bitmap_of(hashes)))
+            yield pd.DataFrame(found, columns=["sketch", "size", "first", "bitmap"])
 
     return run(text)
 
@@ -336,23 +353,26 @@ def _dealer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         })
 
 
+def _needed(size_a, size_b, similarity: float) -> np.ndarray:
+    """The fewest shingles that texts of these sizes share at the similarity."""
+    return np.ceil(similarity / (1 + similarity) * (size_a + size_b) - 1e-6)
+
+
 def _may_reach(size_a, size_b, place_a, place_b, similarity: float) -> np.ndarray:
     """Whether texts can have the similarity whose first common shingle is at these places of their orders."""
-    need = np.ceil(similarity / (1 + similarity) * (size_a + size_b) - 1e-6)
-    return np.minimum(size_a - place_a, size_b - place_b) >= need
+    return np.minimum(size_a - place_a, size_b - place_b) >= _needed(size_a, size_b, similarity)
 
 
-def _meetings(frame: pd.DataFrame, similarity: float) -> Iterator[pd.DataFrame]:
-    """Pairs of texts of different groups that meet at a shingle, of a frame sorted by it."""
-    shingle, number, grp = (frame[c].to_numpy() for c in ("shingle", "number", "grp"))
+def _encounters(frame: pd.DataFrame, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs of texts of different groups that meet at a shingle, of a frame sorted by it."""
+    shingle, grp = (frame[c].to_numpy() for c in ("shingle", "grp"))
     size, place = frame["size"].to_numpy(np.int64), frame["place"].to_numpy(np.int64)
     starts = np.flatnonzero(np.concatenate(([True], shingle[1:] != shingle[:-1])))
     sizes = np.diff(np.concatenate((starts, [len(shingle)])))
 
     def pairs(i, j):
         apart = (grp[i] != grp[j]) & _may_reach(size[i], size[j], place[i], place[j], similarity)
-        a, b = number[i[apart]], number[j[apart]]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+        return i[apart], j[apart]
 
     left = np.repeat(starts + sizes, sizes)  # end of the bucket of each row
     small = np.repeat(sizes <= 64, sizes)
@@ -370,7 +390,63 @@ def _meetings(frame: pd.DataFrame, similarity: float) -> Iterator[pd.DataFrame]:
             yield pairs(x[x < y], y[x < y])
 
 
-def _meeter(similarity: float):
+def _accompanied(frame: pd.DataFrame, similarity: float) -> Iterator[pd.DataFrame]:
+    """The rows that meet a text of another group."""
+    meets = np.zeros(len(frame), bool)
+    for i, j in _encounters(frame, similarity):
+        meets[i] = meets[j] = True
+    yield frame[meets]
+
+
+class _Bitmaps:
+    """The bitmaps of a frame's rows, compared at the length of the shorter of two."""
+
+    def __init__(self, frame: pd.DataFrame, similarity: float):
+        self.bitmaps, self.similarity = frame["bitmap"], similarity
+        self.size, self.length = frame["size"].to_numpy(np.int64), frame["bitmap"].str.len().to_numpy()
+        self.folded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def _at(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Bitmaps of this many bytes or more, as words of the folded ones, and the place of each row among them."""
+        if length not in self.folded:
+            place, parts, n = np.zeros(len(self.length), np.int64), [], 0
+            for longer in np.unique(self.length[self.length >= length]):
+                rows = np.flatnonzero(self.length == longer)
+                bits = np.frombuffer(b"".join(self.bitmaps.iloc[rows]), np.uint64)
+                parts.append(np.bitwise_xor.reduce(bits.reshape(len(rows), longer // length, length // 8), axis=1))
+                place[rows] = np.arange(n, n + len(rows))
+                n += len(rows)
+            self.folded[length] = np.concatenate(parts), place
+        return self.folded[length]
+
+    def may_reach(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether the texts differ in no more bits than those of the similarity can differ in shingles."""
+        size_a, size_b = self.size[i], self.size[j]
+        most = size_a + size_b - 2 * _needed(size_a, size_b, self.similarity)
+        shorter, reach = np.minimum(self.length[i], self.length[j]), np.zeros(len(i), bool)
+        for length in np.unique(shorter).tolist():
+            bits, place = self._at(length)
+            of = np.flatnonzero(shorter == length)
+            for some in np.array_split(of, len(of) * length // PIECE + 1):
+                differ = np.bitwise_count(bits[place[i[some]]] ^ bits[place[j[some]]]).sum(axis=1, dtype=np.int64)
+                reach[some] = differ <= most[some]
+        return reach
+
+
+def _meetings(frame: pd.DataFrame, similarity: float) -> Iterator[pd.DataFrame]:
+    """Pairs of texts of different groups that meet at a shingle and whose bitmaps, if there, are near enough."""
+    number = frame["number"].to_numpy()
+    bitmaps = _Bitmaps(frame, similarity) if "bitmap" in frame else None
+    for i, j in _encounters(frame, similarity):
+        if bitmaps:
+            near = bitmaps.may_reach(i, j)
+            i, j = i[near], j[near]
+        a, b = number[i], number[j]
+        yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+
+
+def _by_shingle(work, similarity: float):
+    """A function of batches sorted by shingle that hands all rows of a shingle to ``work`` at once."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts: list[pd.DataFrame] = []  # rows of the shingle that the next batch may go on with
         for batch in batches:
@@ -381,30 +457,37 @@ def _meeter(similarity: float):
                 parts.append(batch)
                 continue
             ends = batch["shingle"] == last
-            yield from _meetings(pd.concat((*parts, batch[~ends]), ignore_index=True), similarity)
+            yield from work(pd.concat((*parts, batch[~ends]), ignore_index=True), similarity)
             parts = [batch[ends]]
         if parts:
-            yield from _meetings(pd.concat(parts, ignore_index=True), similarity)
+            yield from work(pd.concat(parts, ignore_index=True), similarity)
 
     return run
 
 
+def _meeter(similarity: float):
+    return _by_shingle(_meetings, similarity)
+
+
 def missed_pairs(rows: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) of numbers of rows in different groups, with all that have at least the similarity.
 
-    ``rows`` has number, fp, digest, size and first; ``roots`` the group of each
-    fp that has one. A pair of the similarity shares one of its first shingles;
+    ``rows`` has number, fp, digest, size, first and bitmap; ``roots`` the group of
+    each fp that has one. A pair of the similarity shares one of its first shingles;
     at the one that is first of all, neither text has too few left. A shingle's
-    texts meet in one task, which lists pairs of different groups piece by piece.
-    Texts without words have no shingles; they have one sketch, and so one group.
+    texts meet in one task, without their bitmaps, as most meet no other group. Those
+    that do meet again with them, and the task lists pairs piece by piece. Texts
+    without words have no shingles; they have one sketch, and so one group.
     """
+    bitmaps = rows.select("number", "bitmap")
     groups = stored(roots.select(F.col("node").alias("fp"), F.xxhash64("root").alias("grp")), "groups")
     rows = rows.select("number", "fp", "digest", "size", "first")
     rows = rows.join(F.broadcast(groups), "fp", "left") if is_small(groups) else join_salted(rows, groups, "fp", "digest")
     rows = rows.select("number", F.coalesce("grp", "number").alias("grp"), "size", "first")
-    dealt = rows.mapInPandas(_dealer, "shingle long, number long, grp long, size int, place int")
-    dealt = dealt.repartition("shingle").sortWithinPartitions("shingle")
-    return dealt.mapInPandas(_meeter(similarity), "a long, b long").distinct()
+    dealt = rows.mapInPandas(_dealer, DEALT).repartition("shingle").sortWithinPartitions("shingle")
+    met = dealt.mapInPandas(_by_shingle(_accompanied, similarity), DEALT)
+    met = met.join(bitmaps, "number").repartition("shingle").sortWithinPartitions("shingle")
+    return met.mapInPandas(_meeter(similarity), "a long, b long").distinct()
 
 
 def missed_links(

@@ -182,3 +182,41 @@ def test_large_meetings_are_listed_in_pieces(monkeypatch):
     assert {(a, b) for p in pieces for a, b in zip(p["a"], p["b"], strict=True)} == {
         (a, b) for a, b in combinations(range(n), 2) if a // 2 != b // 2
     }
+
+
+def test_bitmaps_rule_out_no_pair_at_the_similarity(monkeypatch):
+    monkeypatch.setattr(near_texts, "PIECE", 200)
+    chance = random.Random(7)
+    texts = ["a", "a b c d e"]
+    for n in (30, 240, 262, 300, 600, 1100):
+        texts += family(chance, 6, 0.02, n)
+        texts += [" ".join(texts[-1].split()[: n * share // 100]) for share in (81, 85, 90, 95)]
+    for most in (1 << 13, 512):
+        monkeypatch.setattr(near_texts, "BITMAP", (256, most))
+        found = [near_texts.shingles(t) for t in texts]
+        frame = pd.DataFrame({"bitmap": [near_texts.bitmap_of(f) for f in found], "size": [len(f) for f in found]})
+        assert frame["bitmap"].str.len().nunique() == len({min(most, 1 << k) for k in (8, 9, 10, 11)})
+        i, j = np.triu_indices(len(texts), 1)
+        alike = np.array([jaccard(texts[a], texts[b]) for a, b in zip(i, j, strict=True)])
+        ratio = frame["size"].to_numpy()[i] / frame["size"].to_numpy()[j]
+        reach = near_texts._Bitmaps(frame, 0.8).may_reach(i, j)
+        assert (alike >= 0.8).sum() > 60 and reach[alike >= 0.8].all()
+        apart = (alike < 0.4) & (0.8 < ratio) & (ratio < 1.25)
+        assert apart.any() and reach[apart].mean() < 0.2
+
+
+def test_texts_that_share_a_passage_are_not_listed_in_pairs(spark):
+    chance = random.Random(8)
+    passage = " ".join(f"c{i}" for i in range(100))
+    texts = [f"{passage} {' '.join(f'w{chance.randrange(9000)}' for _ in range(100))}" for _ in range(200)]
+    texts += [f"{text} end" for text in texts[:20]]
+    sets = [slow_set(t) for t in texts]
+    want = {(i, j) for i, j in combinations(range(len(sets)), 2) if slow_jaccard(sets[i], sets[j]) >= 0.8}
+    assert len(want) == 20
+    unordered = (np.empty(0, np.uint64), np.empty(0, np.int64))
+    docs = spark.createDataFrame(list(enumerate(texts)), "number long, text string")
+    seen = near_texts._sketched(F.col("text"), 0.8, 5, unordered).alias("seen")
+    rows = docs.select("number", near_texts._key(F.col("text")).alias("fp"), F.sha("text").alias("digest"), seen)
+    none = spark.createDataFrame([], "node binary, root binary")
+    found = near_texts.missed_pairs(rows.select("number", "fp", "digest", "seen.*"), none, 0.8).collect()
+    assert want <= {(r.a, r.b) for r in found} and len(found) < 2 * len(texts)  # of 24,090 pairs
