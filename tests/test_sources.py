@@ -6,17 +6,23 @@ import shutil
 import zipfile
 from datetime import date
 from decimal import Decimal
+from hashlib import md5
 from pathlib import Path
+from threading import Barrier
 from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from conftest import plan, table
 from pyspark.sql import functions as F
 
+import salesloom.checks.landing as checks_landing
 import salesloom.plans.daily as daily
 from salesloom.checks.landing import land, whole_rows
-from salesloom.checks.sources import amounts_kept_or_refused
+from salesloom.checks.sources import _cells, amounts_kept_or_refused
+from salesloom.functions.dates import date_text, parse_date
 from salesloom.plans import ANSWERS, Answer
+from salesloom.plans.sold import sold_offers
 from salesloom.schemas import LAYOUT, columns, enforce, schema
 from salesloom.session import fresh_folder, shared_folder
 from salesloom.sources import archives
@@ -367,6 +373,13 @@ class TestIngest:
         assert max(s for _, s in loads) < 1.3 * min(s for _, s in loads)
         assert read_lines(spark, str(tmp_path)).rdd.getNumPartitions() == 64
 
+    def test_small_members_share_a_task(self, spark, tmp_path):
+        for i in range(25):
+            zipped(tmp_path / f"{i}.zip", **{f"m{j}": f"{i}|{j}|\n" for j in range(4)})
+        frame = read_lines(spark, str(tmp_path))
+        assert frame.rdd.getNumPartitions() == archives.FEWEST_PER_CORE * spark.sparkContext.defaultParallelism == 64
+        assert sorted(row.line for row in frame.collect()) == sorted(f"{i}|{j}|" for i in range(25) for j in range(4))
+
     def test_rejects_lie_beside_the_table(self, spark, tmp_path):
         good, bad = "1|2|O|3.50|1997-01-01|p|c|0|text|", "2|2|O|x|1997-01-01|p|c|0|text|"
         undated = "3|2|O|3.50|1997-13-01|p|c|0|text|"
@@ -552,6 +565,60 @@ class TestDailyRun:
         assert outcomes[1].error is None
 
 
+    def test_answers_run_side_by_side(self, spark, tmp_path, monkeypatch):
+        names, both = ("q05_disc_on_sales", "q10_chg_supp_perf"), Barrier(2)
+
+        def waits_for_the_other():
+            both.wait(60)
+            return spark.range(1)
+
+        for name in names:
+            monkeypatch.setitem(ANSWERS, name, Answer(waits_for_the_other, ()))
+        outcomes = daily.answer_all(GivenTables(spark, GIVEN), str(tmp_path), DAY, names)
+        assert [(o.answer, o.error) for o in outcomes] == [(name, None) for name in names]
+
+    def test_answers_that_wait_for_the_base_share_it(self, spark, tmp_path, monkeypatch):
+        made = []
+        monkeypatch.setattr(daily, "sold_offers", lambda *tables: made.append(1) or sold_offers(*tables))
+        names = ("q01_most_profit_prods", "q04_top_supp_by_prod_cat", "q05_disc_on_sales")
+        outcomes = daily.answer_all(GivenTables(spark, GIVEN), str(tmp_path), DAY, names)
+        assert [o.error for o in outcomes] == [None] * 3 and made == [1]
+
+    def test_a_written_answer_is_summed_up_in_one_pass(self, spark, tmp_path):
+        rows = table(spark, "name string, n int, x double", ("a", 1, 0.5), (None, 3, None))
+        rows.write.parquet(str(tmp_path / "rows"))
+        cells = _cells(spark.read.parquet(str(tmp_path / "rows")), "some")
+        assert plan(cells).count("FileScan") == 1
+        digest = int(md5(b"a").hexdigest()[:8], 16) + int(md5(b"").hexdigest()[:8], 16)
+        assert sorted(map(tuple, cells.collect())) == [
+            ("some", "n", 2, 2, 4000, 0), ("some", "name", 2, 1, 0, digest), ("some", "x", 2, 1, 500, 0)
+        ]
+
+
+class TestLanding:
+    def test_members_hold_whole_lines_up_to_their_limit(self, monkeypatch):
+        monkeypatch.setattr(checks_landing, "MEMBER_LINES", 4)
+        batches = [pa.record_batch([pa.array(some, pa.string())], names=["value"]) for some in (["a", "é"], [], list("bcdefgh"))]
+        assert list(checks_landing._members(iter(batches))) == [("a\né\nb\nc\n".encode(), 4), (b"d\ne\nf\ng\n", 4), (b"h\n", 1)]
+
+    def test_amounts_are_checked_by_doubles_where_these_are_exact(self, spark):
+        frame = table(spark, "s_suppkey bigint, s_acctbal double", (1, 0.1), (2, -999.99), (3, 0.0001), (4, 2.0**36 + 0.01), (5, None))
+        kept = enforce(frame, "supplier", fill_missing=True).select("s_acctbal").collect()
+        assert [r[0] and str(r[0]) for r in kept] == ["0.1000", "-999.9900", "0.0001", "68719476736.0100", None]
+        for bad in (0.00001, 1.00005, float("nan"), float("inf")):
+            with pytest.raises(Exception):
+                enforce(table(spark, "s_suppkey bigint, s_acctbal double", (1, bad)), "supplier", fill_missing=True).collect()
+
+    def test_plain_dates_skip_the_pattern_and_mean_the_same(self, spark):
+        texts = ["1996-02-29", "1997-02-29", "0000-01-01", "9999-12-31", "1996-2-9", " 1996-02-09", "1996-02-09\n", "12024-01-01", "", None]
+        frame = table(spark, "t string", *[(t,) for t in texts])
+        both = frame.select(parse_date("t").alias("a"), F.try_to_date("t", "yyyy-MM-dd").alias("b"))
+        assert "RLIKE" in plan(both)
+        assert both.filter(~F.col("a").eqNullSafe(F.col("b"))).isEmpty()
+        days = spark.sql("SELECT date_add(date'0990-01-01', CAST(id * 97 AS INT)) AS d FROM range(40000)")
+        assert days.filter(date_text(F.col("d")) != F.col("d").cast("string")).isEmpty()
+
+
 class TestPlans:
     def test_lead_time_reads_the_lines_once_and_writes_nothing(self, spark):
         before = set(Path(shared_folder(spark)).iterdir()) if Path(shared_folder(spark)).exists() else set()
