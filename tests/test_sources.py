@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import shutil
+import time
 import zipfile
 from datetime import date
 from decimal import Decimal
@@ -18,13 +19,16 @@ from pyspark.sql import functions as F
 
 import salesloom.checks.landing as checks_landing
 import salesloom.plans.daily as daily
-from salesloom.checks.landing import land, whole_rows
+import salesloom.plans.sold as sold_base
+from salesloom.checks.landing import clear_away, land, whole_rows
 from salesloom.checks.sources import _cells, amounts_kept_or_refused
 from salesloom.functions.dates import date_text, parse_date
+from salesloom.operators.joining import planned_bytes
 from salesloom.plans import ANSWERS, Answer
-from salesloom.plans.sold import sold_offers
+from salesloom.plans.products import campaign_revenue
+from salesloom.plans.sold import sold_offers, stored_by_part
 from salesloom.schemas import LAYOUT, columns, enforce, schema
-from salesloom.session import fresh_folder, shared_folder
+from salesloom.session import fresh_folder, little_disk, shared_folder, stored
 from salesloom.sources import archives
 from salesloom.sources.archives import list_members, read_lines, split_fields
 from salesloom.sources.catalog import register
@@ -686,3 +690,104 @@ def test_amounts_are_stored_field_by_field(spark, tmp_path):
     ]
     used = "ReadSchema: struct<l_orderkey:string,l_linenumber:string,l_extendedprice:string,l_discount:string>"
     assert "fields:array" not in plan(found) and used in plan(found)
+
+
+def shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = {found.apply(i).getName() for i in range(found.size())}
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+class TestDisk:
+    def test_shuffle_files_go_with_the_answer_that_wrote_them(self, spark, tmp_path):
+        before = shuffle_files(spark)
+        names = ("q02_sales_per_by_region", "q06_cust_behavior", "q08_most_profit_pairs")
+        outcomes = daily.answer_all(GivenTables(spark, GIVEN), str(tmp_path), DAY, names)
+        assert [o.error for o in outcomes] == [None] * 3
+        until = time.monotonic() + 20
+        while (left := shuffle_files(spark) - before) and time.monotonic() < until:
+            time.sleep(0.2)  # Spark removes them in the background
+        assert not left
+
+    def test_settings_hold_for_the_run_only(self, spark, tmp_path):
+        codec = "spark.sql.parquet.compression.codec"
+        before = spark.conf.get(codec)
+        with little_disk(spark):
+            assert spark.conf.get(codec) == "zstd"
+        assert spark.conf.get(codec) == before
+        spark.conf.set(codec, "gzip")
+        try:
+            with little_disk(spark):
+                assert spark.conf.get(codec) == "gzip"
+            assert spark.conf.get(codec) == "gzip"
+        finally:
+            spark.conf.unset(codec)
+
+    def test_large_answers_take_turns(self):
+        anytime, in_turn = daily.turns([*ANSWERS, "q99"])
+        assert anytime == ["q06_cust_behavior", "q08_most_profit_pairs", "q10_chg_supp_perf", "q99"]
+        assert [[name[:3] for name in turn] for turn in in_turn] == [["q01", "q04", "q05"], ["q02", "q03"], ["q07", "q09"]]
+
+    def test_the_sold_base_is_gone_before_the_next_turn(self, spark, tmp_path, monkeypatch):
+        seen = []
+
+        def looks(**_):
+            seen.append([path.name for path in Path(shared_folder(spark)).glob("sold-*")])
+            return spark.range(1)
+
+        before = [path.name for path in Path(shared_folder(spark)).glob("sold-*")]
+        monkeypatch.setitem(ANSWERS, "q02_sales_per_by_region", Answer(looks, ("orders", "lineitem")))
+        names = ("q02_sales_per_by_region", "q05_disc_on_sales")
+        outcomes = daily.answer_all(GivenTables(spark, GIVEN), str(tmp_path), DAY, names)
+        assert [(o.answer, o.error) for o in outcomes] == [(name, None) for name in names] and seen == [before]
+
+    def test_source_files_may_go_once_their_table_is_staged(self, spark, tmp_path):
+        given, gone = GivenTables(spark, GIVEN), []
+        source = land(given)
+
+        def staged(name):
+            assert Path(source_path(source, name)).exists()
+            clear_away(given, source, name)
+            gone.append(name)
+
+        outcomes = daily.run_day(spark, source, str(tmp_path / "s"), str(tmp_path / "r"), DAY, done=staged)
+        assert [o.error for o in outcomes] == [None] * len(ANSWERS) and sorted(gone) == sorted(LAYOUT)
+        assert not any(Path(source).iterdir())
+        assert Staged(spark, str(tmp_path / "s"), DAY)["orders"].count() == given["orders"].count()
+
+    def test_some_parts_at_a_time_give_the_same_rows(self, spark, monkeypatch):
+        money = "CAST(%s AS decimal(18,4))"
+        # parts 0 to 6 and none, lines that repeat, offers that repeat, lines without an offer
+        lines = spark.sql(
+            f"SELECT id % 11 AS l_orderkey, CASE WHEN id % 8 < 7 THEN id % 8 END AS l_partkey, id % 3 AS l_suppkey,"
+            f" {money % 'id + 0.25'} AS l_extendedprice, CAST(0.05 AS decimal(9,4)) AS l_discount FROM range(90)"
+        )
+        offers = spark.sql(
+            f"SELECT CASE WHEN id % 7 < 6 THEN id % 7 END AS ps_partkey, id % 2 AS ps_suppkey, 5 AS ps_availqty,"
+            f" {money % '2.5'} AS ps_supplycost, 'x' AS ps_comment FROM range(21)"
+        )
+        tables = {
+            "lineitem": stored(lines, "lines"),
+            "partsupp": offers,
+            "orders": spark.sql("SELECT id AS o_orderkey, id % 4 AS o_custkey FROM range(10)"),
+            "customer": spark.sql("SELECT id AS c_custkey FROM range(3)"),
+        }
+        for build, names in (
+            (sold_offers, ("partsupp", "lineitem")),
+            (campaign_revenue, ("partsupp", "lineitem", "orders", "customer")),
+        ):
+            asked = []
+
+            def counted(*frames, build=build, asked=asked):
+                asked.append(1)
+                return build(*frames)
+
+            monkeypatch.setattr(sold_base, "LINES_AT_ONCE", planned_bytes(tables["lineitem"]) // 3 + 1)
+            some = stored_by_part(counted, tables, names, "some")
+            whole = build(*[tables[name] for name in names])
+            assert len(asked) == 3 and whole.count() > 0 and some.columns == whole.columns
+            assert sorted(map(tuple, some.collect())) == sorted(map(tuple, whole.collect()))
+            assert "ps_comment" not in whole.columns
+            monkeypatch.setattr(sold_base, "LINES_AT_ONCE", planned_bytes(tables["lineitem"]))
+            stored_by_part(counted, tables, names, "all")
+            assert len(asked) == 4
